@@ -1,2 +1,41 @@
-QUERIES = {}
-SQL = {}
+"""The queries on text corpora, and the SQL that checks them where SQL can."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import bpe, packing
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(_documents(spark, sf_dir))
+
+
+def p6_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.decode(bpe.encode(_documents(spark, sf_dir)))
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(bpe.lengths(_documents(spark, sf_dir)))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.split_texts(_packed(spark, sf_dir))
+
+
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packed(spark, sf_dir)
+
+
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.containers(_packed(spark, sf_dir)).withColumn("filled", 1 - F.col("n_unused") / packing.CAPACITY)
+
+
+QUERIES = {f.__name__: f for f in (p6_ids, p6_decoded, p7_found, p7_packed, p7_containers)}
+
+SQL = {"p6_decoded": "select doc_id, coalesce(text, '') as text from documents"}
