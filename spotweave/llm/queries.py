@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing
+from . import bpe, moderation, packing
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,23 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.containers(_packed(spark, sf_dir)).withColumn("filled", 1 - F.col("n_unused") / packing.CAPACITY)
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p6_decoded, p7_found, p7_packed, p7_containers)}
+def _moderated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/moderation_labels.parquet")
+    return moderation.moderated(_documents(spark, sf_dir), labels, "source")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _moderated(spark, sf_dir).where("abusive").select("doc_id")
+
+
+def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _moderated(spark, sf_dir)
+
+
+def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return moderation.rates(_moderated(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (p6_ids, p6_decoded, p7_found, p7_packed, p7_containers, p8_found, p8_scores, p8_rates)}
 
 SQL = {"p6_decoded": "select doc_id, coalesce(text, '') as text from documents"}
