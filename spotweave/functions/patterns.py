@@ -1,18 +1,18 @@
 """Column expressions that find short patterns in reads. Places are 0-based; null means not found.
 
 Windows are compared inside one expression, so a read never leaves its row or the JVM. Only the search that
-allows insertions and deletions runs as a vectorised UDF, and only on reads that nothing simpler matched.
+allows insertions and deletions runs over Arrow batches, and only on reads that nothing simpler matched.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def hamming(a: Column, b: Column, n: int) -> Column:
@@ -89,23 +89,28 @@ def _near_places(text: str, pattern: str, distance: int) -> list[tuple[int, int]
     return out
 
 
-def edit_place(distance: int, pattern: str):
-    """A UDF: where the only window of least edit distance up to ``distance`` begins; ties give null."""
+def nearest_place(text: str, pattern: str, distance: int) -> int | None:
+    """Where the only substring of least edit distance up to ``distance`` begins; separate equally near ones give None."""
+    near = _near_places(text, pattern, distance)
+    if not near:
+        return None
+    least = min(d for _, d in near)
+    ends = [j for j, d in near if d == least]
+    if ends[-1] - ends[0] != len(ends) - 1 or len(ends) > 1 + least:
+        return None
+    back = _near_places(text[: ends[0]][::-1], pattern[::-1], least)
+    fits = [j for j, d in back if d == least and j >= len(pattern) - least]
+    return ends[0] - fits[0] if fits else None
 
-    @F.pandas_udf(T.IntegerType())
-    def place(texts: pd.Series) -> pd.Series:
-        def one(text: str | None) -> int | None:
-            near = _near_places(text, pattern, distance) if text else []
-            if not near:
-                return None
-            least = min(d for _, d in near)
-            ends = [j for j, d in near if d == least]
-            if ends[-1] - ends[0] != len(ends) - 1 or len(ends) > 1 + least:
-                return None  # several separate matches
-            back = _near_places(text[: ends[0]][::-1], pattern[::-1], least)
-            fits = [j for j, d in back if d == least and j >= len(pattern) - least]
-            return ends[0] - fits[0] if fits else None
 
-        return texts.map(one).astype("Int32")
+def with_edit_places(df: DataFrame, place: str, text: str, pattern: str, distance: int) -> DataFrame:
+    """``df`` with nulls of ``place`` filled by the search that allows indels, in Arrow batches; a null text stays without."""
 
-    return place.asNondeterministic()  # evaluated once, where it stands
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, texts = batch[place].to_pylist(), batch[text].to_pylist()
+            found = [nearest_place(t, pattern, distance) if p is None and t else p for p, t in zip(at, texts)]
+            k = batch.schema.get_field_index(place)
+            yield batch.set_column(k, place, pa.array(found, pa.int32()))
+
+    return df.withColumn(place, F.col(place).cast("int")).mapInArrow(run, df.withColumn(place, F.col(place).cast("int")).schema)

@@ -54,14 +54,14 @@ def _looked_up(df: DataFrame, near: DataFrame, raw: str, name: str) -> DataFrame
     return df.join(near.select(F.col("seen").alias(raw), F.col("barcode").alias(name)), raw, "left")
 
 
-def linker_place(text: Column, layout: Layout) -> Column:
-    """Where the linker begins: the first exact place, else the leftmost with few mismatches, else the best with indels."""
+def with_linker_place(df: DataFrame, text: str, layout: Layout) -> DataFrame:
+    """``df`` with ``_at``, where the linker begins: the first exact place, else the leftmost with few mismatches, else the best with indels."""
     end = F.least(F.length(text), F.lit(layout.b_length + len(layout.linker) + LINKER_SLACK))
-    plain = patterns.leftmost_place(text, layout.linker, layout.pattern_distance, 0, end)
+    plain = df.withColumn("_at", patterns.leftmost_place(F.col(text), layout.linker, layout.pattern_distance, 0, end))
     if not layout.indels or not layout.pattern_distance:
         return plain
-    rest = F.when(plain.isNull(), F.substr(text, F.lit(1), end))
-    return F.coalesce(plain, patterns.edit_place(layout.pattern_distance, layout.linker)(rest))
+    windows = plain.withColumn("_w", F.when(F.col("_at").isNull(), F.substr(text, F.lit(1), end)))
+    return patterns.with_edit_places(windows, "_at", "_w", layout.linker, layout.pattern_distance).drop("_w")
 
 
 def anchor_end(text: Column, after: Column, layout: Layout) -> Column:
@@ -86,7 +86,7 @@ def demultiplex(reads: DataFrame, listed: DataFrame, layout: Layout) -> DataFram
     least = layout.b_length + len(layout.linker) + layout.a_length + len(layout.anchor)
     near = broadcast_if_small(stage(neighbourhood(listed, layout.barcode_distance), "barcode-spellings"), BROADCAST_VARIANTS)
     rows = reads.withColumn("_u", F.upper("seq")).withColumn("_long", F.least(F.length("seq"), F.length("qual")) >= least)
-    rows = rows.withColumn("_at", linker_place(F.when(F.col("_long"), F.col("_u")), layout))
+    rows = with_linker_place(rows.withColumn("_s", F.when(F.col("_long"), F.col("_u"))), "_s", layout)
     a_end = F.col("_at") + len(layout.linker) + layout.a_length
     rows = rows.withColumn("_fits", (F.col("_at") >= layout.b_length) & (a_end <= F.length("_u")))
     rows = rows.withColumn("_insert", F.when(F.col("_fits"), anchor_end(F.col("_u"), a_end, layout)))

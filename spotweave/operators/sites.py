@@ -254,7 +254,7 @@ def compare_coverage(a: DataFrame, b: DataFrame, *by: str, shift: int = 0) -> Da
     ``shared, only_a, only_b`` count sites; over shared ones the correlations of methylated and unmethylated counts,
     the mean absolute difference of percentages and the share of differing majority calls.
     """
-    keys = [*by, "contig", "pos"]
+    keys = list(dict.fromkeys([*by, "contig", "pos"]))
     left = a.select(*keys, F.col("meth").alias("ma"), F.col("unmeth").alias("ua"))
     right = (b.withColumn("pos", F.col("pos") + shift) if shift else b).select(*keys, F.col("meth").alias("mb"), F.col("unmeth").alias("ub"))
     both = left.join(right, keys, "full")
