@@ -13,7 +13,7 @@ import math
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import spot_key, text_lines, trimmed
@@ -142,12 +142,15 @@ def compact(files: DataFrame, table: SnapshotTable, max_small_files: int, small_
         return todo
     table.claim(version + 1)
     try:
-        slices = todo.select("part", F.ceil(F.col("n_bytes") / target_bytes).cast("int").alias("slices"))
+        slices = F.greatest(F.ceil(F.col("n_bytes") / target_bytes), F.lit(1)).cast("int")
+        before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+        plan = todo.select("part", slices.alias("slices"), F.coalesce(F.sum(slices).over(before), F.lit(0)).cast("int").alias("first"))
+        n_out = int(todo.agg(F.sum(slices)).first()[0])
         kept = unique(records(files.join(todo.select("part"), "part", "left_semi")))
-        sliced = kept.join(slices, "part").withColumn("slice", F.pmod(F.xxhash64(*RECORD), F.greatest("slices", F.lit(1))))
-        n_out = int(todo.agg(F.sum(F.greatest(F.ceil(F.col("n_bytes") / target_bytes), F.lit(1)))).first()[0])
+        out = F.col("first") + F.pmod(F.xxhash64(*RECORD), "slices").cast("int")
         (
-            sliced.repartition(n_out, "part", "slice")
+            kept.join(plan, "part")
+            .repartitionById(n_out, out)
             .sortWithinPartitions("part", *RECORD)
             .select(*RECORD, "file_id", "part")
             .write.mode("overwrite")
