@@ -36,7 +36,8 @@ def on_array(df: DataFrame, listed: DataFrame, length: int, spot: str = "spot")
 def pairs_of(listed: DataFrame) -> DataFrame:
     """``spot``: every listed barcode before every listed one, the array's spots (a list's square, so for an array's list only)."""
     codes = listed.select("barcode").agg(F.sort_array(F.collect_set("barcode")).alias("all"))
-    return codes.select("all", F.explode("all").alias("b")).select(F.concat("b", F.explode("all")).alias("spot"))
+    halves = codes.select("all", F.explode("all").alias("b")).select("b", F.explode("all").alias("a"))
+    return halves.select(F.concat("b", "a").alias("spot"))
 
 
 def expanded_whitelist(listed: DataFrame, observed: DataFrame) -> DataFrame:
