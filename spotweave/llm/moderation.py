@@ -198,7 +198,7 @@ class Models:
         head, tail = np.searchsorted(pairs, a * size + b), np.searchsorted(pairs, b * size + c)
         keys, at = np.unique(head * size + c, return_inverse=True)
         low, high = _DISCOUNTS
-        triple, pair = np.zeros((2, len(keys))), np.zeros((2, len(pairs)))
+        triple, pair = np.zeros((2, max(len(keys), 1))), np.zeros((2, len(pairs)))
         upper, lower = np.ones((2, len(pairs))), np.ones((2, size))
         unigram = np.full(size, 0.5)
         second = pairs // size
@@ -362,11 +362,14 @@ def fit(documents: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED, roun
 
 
 def _cutoff(judged: pd.DataFrame) -> float:
-    """The score at which the labels are met best (by F1), drawn to the usual one where they are few."""
+    """The score at which the labels are met best (by F1), drawn to the usual one where they are few.
+
+    Without a toxic label nothing is known of toxic texts, and no score is a case.
+    """
     judged = judged.dropna().sort_values("score", ascending=False)
-    if judged.empty:
-        return USUAL_CUTOFF
     hits, cases = judged.toxic.cumsum().to_numpy(), int(judged.toxic.sum())
+    if not cases:
+        return math.inf
     above = judged.score.to_numpy()
     cuts = (above + np.append(above[1:], above[-1] - 1)) / 2
     near = USUAL_WEIGHT * np.exp(-((cuts - USUAL_CUTOFF) ** 2))
