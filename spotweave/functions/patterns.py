@@ -6,8 +6,10 @@ allows insertions and deletions runs over Arrow batches, and only on reads that
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +32,27 @@ def exact_places(text: Column, pattern: str, first: Column | int = 0, last: Colu
     return F.filter(starts, lambda i: F.substr(text, i + 1, F.lit(len(pattern))) == pattern)
 
 
+#: Up to so many spellings with wildcards are searched as one regular expression.
+MAX_SPELLINGS = 2000
+
+
 def leftmost_place(text: Column, pattern: str, distance: int, first: Column | int = 0, last: Column | None = None) -> Column:
-    """The first exact place, else the leftmost, not the best, place with at most ``distance`` mismatches."""
+    """The first exact place, else the leftmost, not the best, place with at most ``distance`` mismatches.
+
+    A place with few mismatches fits the pattern with wildcards at so many of its letters; the alternation of these
+    spellings is one regular expression, which finds its leftmost fit.
+    """
     n = len(pattern)
     lo = F.lit(first) if isinstance(first, int) else first
-    hi = (F.length(text) if last is None else F.least(last, F.length(text))) - n
-    starts = F.when(hi >= lo, F.sequence(lo.cast("int"), hi.cast("int"))).otherwise(F.array().cast("array<int>"))
-    exact = F.filter(starts, lambda i: F.substr(text, i + 1, F.lit(n)) == pattern)
-    near = F.filter(starts, lambda i: hamming(F.substr(text, i + 1, F.lit(n)), F.lit(pattern), n) <= distance)
-    return F.coalesce(F.get(exact, F.lit(0)), F.get(near, F.lit(0)))
+    end = F.length(text) if last is None else F.least(last, F.length(text))
+    window = F.substr(text, lo + 1, F.greatest(end - lo, F.lit(0)))
+    found = F.nullif(F.instr(window, pattern), F.lit(0))
+    if distance:
+        if math.comb(n, distance) > MAX_SPELLINGS:
+            raise ValueError(f"{distance} mismatches of {n} letters are too many spellings")
+        spellings = ("".join("." if i in k else re.escape(c) for i, c in enumerate(pattern)) for k in map(set, combinations(range(n), distance)))
+        found = F.coalesce(found, F.nullif(F.regexp_instr(window, F.lit("(?s)" + "|".join(spellings))), F.lit(0)))
+    return lo + found - 1
 
 
 def unique_place(text: Column, pattern: str, distance: int, first: Column | int = 0, last: Column | None = None) -> Column:

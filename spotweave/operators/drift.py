@@ -158,31 +158,38 @@ def changes(parsed: DataFrame, row_key: str = "barcode") -> DataFrame:
 
 
 def column_steps(versions: DataFrame, moved: DataFrame) -> DataFrame:
-    """``file_id, name, code, before, old_name``: each column of each file and the column it continues, if any."""
-    cols = versions.select("file_id", F.col("prev.file_id").alias("before"), F.col("prev.names").alias("was"), F.explode(F.arrays_zip("names", "types")).alias("c"))
+    """``file_id, grp, version, name, code, before, old_name``: each column of each file and the column it continues, if any."""
+    cols = versions.select("file_id", "grp", "version", F.col("prev.file_id").alias("before"), F.col("prev.names").alias("was"), F.explode(F.arrays_zip("names", "types")).alias("c"))
     step = moved.groupBy("file_id", F.col("new_name").alias("name")).agg(F.min("old_name").alias("from"))
-    cols = cols.select("file_id", "before", F.col("c.names").alias("name"), F.col("c.types").alias("code"), F.array_contains("was", F.col("c.names")).alias("stays"))
+    cols = cols.select("file_id", "grp", "version", "before", F.col("c.names").alias("name"), F.col("c.types").alias("code"), F.array_contains("was", F.col("c.names")).alias("stays"))
     old = F.when(F.col("stays"), F.col("name")).otherwise(F.col("from"))
     return cols.join(step, ["file_id", "name"], "left").select(
-        "file_id", "name", "code", F.when(old.isNotNull(), F.col("before")).alias("before"), old.alias("old_name")
+        "file_id", "grp", "version", "name", "code", F.when(old.isNotNull(), F.col("before")).alias("before"), old.alias("old_name")
     )
 
 
 def field_names(steps: DataFrame) -> DataFrame:
-    """``file_id, name, field``: for each column of each file the name under which it first came, by the chain of renames."""
-    roots = steps.where("before is null").select("file_id", "name", F.col("name").alias("field"))
-    open_ = steps.where("before is not null").select("file_id", "name", F.col("before").alias("to_file"), F.col("old_name").alias("to_name"))
-    done = roots
+    """``file_id, name, field``: for each column of each file the name under which it first came, by the chain of renames.
+
+    Only the files in which a column came or took its name are linked; chains of renames are followed by doubling.
+    """
+    began = F.when(F.col("before").isNull() | (F.col("old_name") != F.col("name")), F.col("file_id"))
+    w = Window.partitionBy("grp", "name").orderBy("version").rowsBetween(Window.unboundedPreceding, 0)
+    held = stage(steps.select("file_id", "name", "before", "old_name", F.last(began, ignorenulls=True).over(w).alias("since")), "drift-held")
+    events = held.where("file_id = since")
+    done = events.where("before is null").select("file_id", "name", F.col("name").alias("field"))
+    source = held.select(F.col("file_id").alias("before"), F.col("name").alias("old_name"), F.col("since").alias("to_file"))
+    renamed = events.where("before is not null").drop("since").join(source, ["before", "old_name"])
+    open_ = stage(renamed.select("file_id", "name", "to_file", F.col("old_name").alias("to_name")), "drift-open")
     left = open_.count()
     while left:
         target = done.select(F.col("file_id").alias("to_file"), F.col("name").alias("to_name"), "field")
-        found = open_.join(target, ["to_file", "to_name"]).select("file_id", "name", "field")
-        done = stage(done.unionByName(found), "drift-fields")
+        done = stage(done.unionByName(open_.join(target, ["to_file", "to_name"]).select("file_id", "name", "field")), "drift-fields")
         onward = open_.select(F.col("file_id").alias("to_file"), F.col("name").alias("to_name"), F.col("to_file").alias("f2"), F.col("to_name").alias("n2"))
         jumped = open_.join(onward, ["to_file", "to_name"]).select("file_id", "name", F.col("f2").alias("to_file"), F.col("n2").alias("to_name"))
         open_ = stage(jumped.join(done, ["file_id", "name"], "left_anti"), "drift-open")
         left = open_.count()
-    return done
+    return held.select("file_id", "name", "since").join(done.withColumnRenamed("file_id", "since"), ["since", "name"]).select("file_id", "name", "field")
 
 
 def as_number(value: Column) -> Column:

@@ -13,11 +13,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import csv
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 FIELDS = ["name", "seq", "plus", "qual"]
 _FIELD = r'(?:"(?:[^"]|"")*"|[^",]*)'
 _WELL_QUOTED = rf"(?s)\A{_FIELD}(?:,{_FIELD})*\z"
-_SCHEMA = "row_id bigint, name string, seq string, plus string, qual string, reason string"
 _ARROW = pa.schema([("row_id", pa.int64()), *((f, pa.string()) for f in FIELDS), ("reason", pa.string())])
 _MARK = "\ue000"
 
@@ -64,8 +64,7 @@ def _labels(t: pa.Table) -> pa.Array:
     return pc.case_when(pc.make_struct(*(pc.invert(x) for _, x in ok)), *(pa.scalar(k) for k, _ in ok), pa.scalar(None, pa.string()))
 
 
-def _split(batch: pa.RecordBatch) -> pa.Table:
-    ids, lines = batch.column(0), batch.column(1)
+def _split(ids: pa.Array, lines: pa.Array) -> pa.Table:
     number = pa.array(range(len(ids)), pa.int64())
     given = pc.is_valid(lines)
     well = pc.and_(given, pc.fill_null(pc.match_substring_regex(lines, _WELL_QUOTED), False))
@@ -95,11 +94,15 @@ def _split(batch: pa.RecordBatch) -> pa.Table:
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            yield from _split(batch).combine_chunks().to_batches()
+            found = _split(pa.array(range(batch.num_rows), pa.int64()), batch.column(1))
+            place, others = found["row_id"].combine_chunks(), [0, *range(2, batch.num_columns)]
+            kept, names = [batch.column(k).take(place) for k in others], [batch.schema.names[k] for k in others]
+            cells = [found[f].combine_chunks() for f in (*FIELDS, "reason")]
+            yield pa.RecordBatch.from_arrays([kept[0], *cells, *kept[1:]], [names[0], *FIELDS, "reason", *names[1:]])
 
 
-def parse_rows(df: DataFrame, row_id: str = "row_id", raw_line: str = "raw_line") -> DataFrame:
-    """``row_id, name, seq, plus, qual, reason``: one row for each row of ``df``.
+def parse_rows(df: DataFrame, row_id: str = "row_id", raw_line: str = "raw_line", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``row_id, name, seq, plus, qual, reason`` and the columns of ``keep``: one row for each row of ``df``.
 
     ``reason`` is null for a row that loads; else it is the first that holds of ``quoting``, ``columns``,
     ``name``, ``seq``, ``plus``, ``qual`` and ``length``. A structural reject has null fields, another keeps
@@ -107,7 +110,9 @@ def parse_rows(df: DataFrame, row_id: str = "row_id", raw_line: str = "raw_line"
     in quotes may hold commas, doubled quotes and line breaks, texts may be of any length. Rows sent twice
     come out twice, an empty table gives an empty one, and no other column of ``df`` is read.
     """
-    return df.select(df[row_id].cast("long"), df[raw_line]).mapInArrow(_each, _SCHEMA)
+    rows = df.select(df[row_id].cast("long").alias("row_id"), df[raw_line].alias("raw_line"), *keep)
+    text = [T.StructField(f, T.StringType()) for f in (*FIELDS, "reason")]
+    return rows.mapInArrow(_each, T.StructType([rows.schema["row_id"], *text, *rows.schema.fields[2:]]))
 
 
 def loaded(parsed: DataFrame) -> DataFrame:

@@ -61,14 +61,18 @@ def without_overlaps(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def site_calls(rows: DataFrame, sites: DataFrame, converted: bool = True, r1: tuple[int, int] = (0, 0), r2: tuple[int, int] = (0, 0)) -> DataFrame:
+def site_calls(
+    rows: DataFrame, sites: DataFrame, converted: bool = True, r1: tuple[int, int] = (0, 0), r2: tuple[int, int] = (0, 0), mates_once: bool = True
+) -> DataFrame:
     """``spot, contig, pos, context, strand, methylated``: one row per aligned base that shows a state of a site.
 
     A CG site takes reads of all four flags and reads two bases there; a CH site takes reads of its strand, and
-    the base beside it in the read must fit its context. Both bases must lie outside the trimmed cycles. The join
-    is by contig and place, so it spreads as the sites do.
+    the base beside it in the read must fit its context. Both bases must lie outside the trimmed cycles. With
+    ``mates_once`` overlapping mates count once. The join is by contig and place, so it spreads as the sites do, and
+    comes first: only bases at sites are compared between mates.
     """
     joined = rows.join(sites, ["contig", "pos"])
+    joined = without_overlaps(joined) if mates_once else joined
     at = lambda k: F.upper(F.substr("seq", F.col("qpos") + 1 + k, F.lit(1)))
     flag, q, n = F.col("flag"), F.col("qpos"), F.length("seq")
     is_cg, plus = F.col("context") == "CG", F.col("strand") == "+"

@@ -50,9 +50,9 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The FASTQ records that load."""
-    return rejects.loaded(rejects.parse_rows(table(spark, sf_dir, "fastq_rows")))
+def fastq(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """The FASTQ records that load, with columns of their rows."""
+    return rejects.loaded(rejects.parse_rows(table(spark, sf_dir, "fastq_rows"), keep=keep))
 
 
 def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,7 @@ spot_reads as (select sample_id, contig, upper(trim(barcode)) as spot, reads fro
 
 def placed_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads as if aligned: each read of a chunk of FASTQ lies on the chunk's reference from its row's place on."""
-    rows = fastq(spark, sf_dir).join(table(spark, sf_dir, "fastq_rows").select("row_id", "chunk_file", "line_no"), "row_id")
+    rows = fastq(spark, sf_dir, "chunk_file", "line_no")
     flags = F.array(*map(F.lit, [99, 147, 83, 163]))
     cigar = F.array(F.struct(F.lit("M").alias("op"), F.length("seq").alias("len")))
     return rows.select(
@@ -86,7 +86,7 @@ def placed_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chunk_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reference per chunk of FASTQ: its last read by the alphabet, in pieces of 64 bases with a base beside each."""
-    rows = fastq(spark, sf_dir).join(table(spark, sf_dir, "fastq_rows").select("row_id", "chunk_file"), "row_id")
+    rows = fastq(spark, sf_dir, "chunk_file")
     ref = rows.groupBy(F.col("chunk_file").alias("contig")).agg(F.max(F.upper("seq")).alias("s"))
     cut = ref.withColumn("k", F.explode(F.sequence(F.lit(0), F.floor((F.length("s") - 1) / 64)))).withColumn("start", F.col("k") * 64)
     beside = F.struct(

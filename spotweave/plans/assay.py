@@ -320,7 +320,7 @@ def _placed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
   from called where m is not null group by 1, 2, 3, 4, 5""")
 def call_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, ref = _placed(spark, sf_dir)
-    return sites.coverage(sites.site_calls(sites.without_overlaps(rows), ref, True, (2, 1), (1, 0)), "spot")
+    return sites.coverage(sites.site_calls(rows, ref, True, (2, 1), (1, 0)), "spot")
 
 
 _MBIAS = """, cyc as (select case when flag & 64 <> 0 then 'R1' else 'R2' end as read, {cycle} as cycle, {state} as m from {rows})

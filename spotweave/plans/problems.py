@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import spot_key
 from ..operators import compaction, cutoff, drift, rejects, skew
-from ..staging import new_path
+from ..staging import new_path, stage
 
 #: Fields of the per-spot methylation statistics (fixed values).
 MEANS = ["mean_5mCG", "mean_5mCH", "mean_5mCA", "mean_5mCC", "mean_5mCT"]
@@ -59,7 +59,7 @@ def p3_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stats_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.read_files(table(spark, sf_dir, "meth_stats_files").withColumnRenamed("sample_id", "grp"))
+    return stage(drift.read_files(table(spark, sf_dir, "meth_stats_files").withColumnRenamed("sample_id", "grp")), "drift-parsed")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
