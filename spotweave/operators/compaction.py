@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import spot_key, text_lines, trimmed
-from ..staging import stage
+from ..staging import broadcast_if_small, stage
 
 TARGET_BYTES = 128 << 20
+BROADCAST_PARTS = 100_000
 RECORD = ["sample_id", "chunk_id", "barcode", "reads"]
 
 
@@ -146,10 +147,11 @@ def compact(files: DataFrame, table: SnapshotTable, max_small_files: int, small_
         before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
         plan = todo.select("part", slices.alias("slices"), F.coalesce(F.sum(slices).over(before), F.lit(0)).cast("int").alias("first"))
         n_out = int(todo.agg(F.sum(slices)).first()[0])
-        kept = unique(records(files.join(todo.select("part"), "part", "left_semi")))
+        small = F.broadcast if n <= BROADCAST_PARTS else (lambda d: d)  # few partitions are a poor key to shuffle by
+        kept = unique(records(files.join(small(todo.select("part")), "part", "left_semi")))
         out = F.col("first") + F.pmod(F.xxhash64(*RECORD), "slices").cast("int")
         (
-            kept.join(plan, "part")
+            kept.join(small(plan), "part")
             .repartitionById(n_out, out)
             .sortWithinPartitions("part", *RECORD)
             .select(*RECORD, "file_id", "part")
@@ -175,7 +177,7 @@ def with_parts(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
 
 def all_records(files: DataFrame, table: SnapshotTable) -> DataFrame:
     """Every record once: those of rewritten partitions from ``table``, the others from their few files."""
-    rest = files.join(table.manifest().select("part"), "part", "left_anti")
+    rest = files.join(broadcast_if_small(table.manifest().select("part"), BROADCAST_PARTS), "part", "left_anti")
     return table.read().select("part", *RECORD, "file_id").unionByName(unique(records(rest)))
 
 

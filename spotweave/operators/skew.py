@@ -13,9 +13,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..staging import stage
+from ..staging import broadcast_if_small, stage
 
 CHUNK_ROWS = 1 << 20
+#: A range partition holds few keys, so there are hardly more offsets than keys; beyond this they are joined by shuffle.
+BROADCAST_OFFSETS = 200_000
 
 
 def _offsets(rows: DataFrame) -> DataFrame:
@@ -74,7 +76,8 @@ def numbered_in_order(df: DataFrame, key: Column, order: dict[str, Column], keep
     m = F.col("_metadata")
     rows = ranged.select("*", m["file_path"].alias("_file"), F.lit(0).cast("long").alias("_block"), m["row_index"].alias("_row"))
     rows = rows.withColumn("_part", F.xxhash64("_file"))
-    return _with_offsets(rows.drop("_file", "_block"), _offsets(rows), F.col("_row") - F.col("_first"))
+    offsets = broadcast_if_small(stage(_offsets(rows), "chunk-offsets"), BROADCAST_OFFSETS)
+    return _with_offsets(rows.drop("_file", "_block"), offsets, F.col("_row") - F.col("_first"))
 
 
 def _chunk(chunk_rows: int) -> Column:
