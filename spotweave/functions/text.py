@@ -21,3 +21,11 @@ def spot_key(c: Column | str) -> Column:
 def text_lines(c: Column | str) -> Column:
     """The lines of a text with any kind of line ends."""
     return F.split(F.col(c) if isinstance(c, str) else c, "\r\n|\n|\r")
+
+
+def parse_list(text: str) -> list[str]:
+    """The items of a comma-separated list, trimmed, each once; an empty list is an error."""
+    items = list(dict.fromkeys(x.strip() for x in text.split(",") if x.strip()))
+    if not items:
+        raise ValueError("the list is empty")
+    return items

@@ -210,6 +210,18 @@ def linker_conversion(reads: DataFrame, masked: str, first: int, last: int, dist
     )
 
 
+def merged_linker_conversion(parts: DataFrame, *by: str) -> DataFrame:
+    """The conversion of several runs' linkers, their rates weighted by the reads scored."""
+    n = F.col("scored_reads")
+    weighted = lambda c: (F.sum(F.col(c) * n) / F.nullif(F.sum(F.when(F.col(c).isNotNull(), n)), F.lit(0))).alias(c)
+    return parts.groupBy(*by).agg(F.sum(n).alias("scored_reads"), weighted("mean_rate_fraction"), weighted("all_t_fraction"))
+
+
+def first_reads(reads: DataFrame, n: int, *order: str) -> DataFrame:
+    """The first ``n`` reads of all files in order."""
+    return reads.orderBy(*order).limit(n)
+
+
 def all_converted(reads: DataFrame, place: str, sites: list[int]) -> DataFrame:
     """The reads of which every listed site behind ``place`` is a T."""
     return reads.where(F.forall(F.array(*map(F.lit, sites)), lambda s: F.substr("seq", F.col(place) + s + 1, F.lit(1)) == "T"))

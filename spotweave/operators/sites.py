@@ -61,6 +61,12 @@ def without_overlaps(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def with_depth_up_to(rows: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` bases to a place, in the order of the reads' names: for comparisons with callers that cap the depth."""
+    w = Window.partitionBy("contig", "pos").orderBy("name", "flag", "qpos")
+    return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= most).drop("_rn")
+
+
 def site_calls(
     rows: DataFrame, sites: DataFrame, converted: bool = True, r1: tuple[int, int] = (0, 0), r2: tuple[int, int] = (0, 0), mates_once: bool = True
 ) -> DataFrame:

@@ -186,6 +186,33 @@ def subsample(df: DataFrame, name: str, fraction: float, seed: int = 11) -> Data
     return df.where(part < int(fraction * (1 << 32)))
 
 
+def selected(df: DataFrame, roster: DataFrame | None = None, skip: DataFrame | None = None) -> DataFrame:
+    """The rows of spots that are on the roster, if there is one, and not to be skipped; a null spot is on no roster."""
+    rows = df.where("spot is not null")
+    rows = rows if roster is None else rows.join(roster.select("spot").distinct(), "spot", "left_semi")
+    return rows if skip is None else rows.join(skip.select("spot").distinct(), "spot", "left_anti")
+
+
+def only_contigs(df: DataFrame, known: DataFrame, wanted: list[str]) -> DataFrame:
+    """The rows on the wanted contigs; one that isn't among the known ones is an error."""
+    missing = set(wanted) - {r.contig for r in known.where(F.col("contig").isin(wanted)).select("contig").distinct().collect()}
+    if missing:
+        raise ValueError(f"unknown contigs: {', '.join(sorted(missing))}")
+    return df.where(F.col("contig").isin(wanted))
+
+
+def random_spots(counts: DataFrame, n: int = 16, seed: int = 11) -> DataFrame:
+    """``n`` spots drawn by a hash of their name and the seed, the same in every run."""
+    return counts.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), "spot"))).orderBy("_h", "spot").limit(n).drop("_h")
+
+
+def resumed_stats(new: DataFrame, prior: DataFrame, *by: str) -> DataFrame:
+    """Statistics of all spots of either run: the new ones where there are any, else those of the earlier run."""
+    keys = [*by, "spot"]
+    kept = prior.join(new.select(*keys).distinct(), keys, "left_anti")
+    return new.unionByName(kept.select(*new.columns))
+
+
 def capped_fraction(requested: float, mapped: int, most: int = 10_000_000) -> float:
     """The fraction to keep so that no more than ``most`` of ``mapped`` reads stay."""
     return min(requested, most / mapped) if mapped else requested

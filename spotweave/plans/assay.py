@@ -48,6 +48,17 @@ def top_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spots.top_spots(_counts(spark, sf_dir).groupBy("spot").agg(F.sum("reads").alias("reads")))
 
 
+@query(_COUNTS + "select * from counts where spot in (select spot from counts where sample_id = 'S0000001') and spot not in (select spot from counts where sample_id = 'S0000002' and reads > 100)")
+def selected_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = _counts(spark, sf_dir)
+    return spots.selected(counts, counts.where("sample_id = 'S0000001'"), counts.where("sample_id = 'S0000002' and reads > 100"))
+
+
+@query(_COUNTS + "select spot, cast(sum(reads) as bigint) as reads from counts group by spot order by md5('11:' || spot), spot limit 16")
+def random_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spots.random_spots(_counts(spark, sf_dir).groupBy("spot").agg(F.sum("reads").alias("reads")))
+
+
 _FUNNEL = """
 select {by} count(*) as n_records, cast(count(*) filter (ok) as bigint) as mapped_reads, cast(count(*) filter (ok and v) as bigint) as valid_reads,
   cast(count(*) filter (ok and v and contig = 'chr7') as bigint) as valid_mito, cast(count(*) filter (ok and v and contig <> 'chr7') as bigint) as valid_nuclear
@@ -173,6 +184,14 @@ def merged_meth_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact_sums(spots.merged_stats(spots.meth_stats(adapters.coverage_percent(spark, sf_dir), "spot", "contig")))
 
 
+@query("with " + COV_SQL + ", s as (select spot, contig, " + _STATS + " from covp group by 1, 2), "
+       "a as (select spot, n_cg, n_ch from s where contig = 'chr1'), b as (select spot, n_cg, n_ch from s where contig = 'chr3' and spot not in (select spot from a)) select * from a union all select * from b")
+def resumed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per = spots.meth_stats(adapters.coverage_percent(spark, sf_dir), "spot", "contig")
+    one = lambda c: per.where(F.col("contig") == c).select("spot", "n_cg", "n_ch")
+    return spots.resumed_stats(one("chr1"), one("chr3"))
+
+
 @query("with " + COV_SQL + ", s as (select spot, count(*) as n from covp group by spot) select quantile_cont(n, 0.5) as median_sites, cast(sum(n) as bigint) as sites from s")
 def median_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     per = adapters.coverage_percent(spark, sf_dir).groupBy("spot").agg(F.count(F.lit(1)).alias("n"))

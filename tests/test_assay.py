@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spotweave.functions import bases, numbers, patterns
+from spotweave.functions.text import parse_list
 from spotweave.operators import reads, sites, spots
 
 COV = "spot string, contig string, pos bigint, context string, meth bigint, unmeth bigint, strand string"
@@ -304,3 +305,29 @@ def test_formats(spark):
     assert [r[0] for r in df.select(numbers.formatted(".6g")(F.col("x"))).collect()] == ["1.23457e+06", "0.125", "NA"]
     texts = spark.createDataFrame([("12",), (" 12.9 ",), ("1e3",), ("x",), ("NaN",), ("inf",), (None,)], "t string")
     assert [r[0] for r in texts.select(numbers.as_int(F.col("t"))).collect()] == [12, 12, 1000, None, None, None, None]
+
+
+def test_selection(spark, rows):
+    df = spark.createDataFrame([("a", "c1"), ("b", "c1"), (None, "c2")], "spot string, contig string")
+    one = lambda *x: spark.createDataFrame([(v,) for v in x], "spot string")
+    assert rows(spots.selected(df, one("a", "b", "b"), one("b")), "spot") == [("a",)] and spots.selected(df).count() == 2
+    assert spots.only_contigs(df, df, ["c2"]).count() == 1
+    with pytest.raises(ValueError, match="c9"):
+        spots.only_contigs(df, df, ["c1", "c9"])
+    stats = lambda *x: spark.createDataFrame(list(x), "spot string, n_cg bigint")
+    assert rows(spots.resumed_stats(stats(("a", 1)), stats(("a", 9), ("b", 2)))) == [("a", 1), ("b", 2)]
+    deep = spark.createDataFrame([("c", 1, f"r{i}", 99, 0) for i in range(5)], "contig string, pos bigint, name string, flag int, qpos int")
+    assert rows(sites.with_depth_up_to(deep, 2), "name") == [("r0",), ("r1",)]
+
+
+def test_merged_linker_conversion(spark, rows):
+    parts = spark.createDataFrame([(10, 0.5, 0.2), (30, 1.0, 0.4), (5, None, 0.0)], "scored_reads bigint, mean_rate_fraction double, all_t_fraction double")
+    r = reads.merged_linker_conversion(parts).first()
+    assert r.scored_reads == 45 and math.isclose(r.mean_rate_fraction, 35 / 40) and math.isclose(r.all_t_fraction, 14 / 45)
+    assert spots.capped_fraction(0.5, 40_000_000) == 0.25 and spots.capped_fraction(0.5, 0) == 0.5
+
+
+def test_lists():
+    assert parse_list(" a, b,,a ") == ["a", "b"]
+    with pytest.raises(ValueError):
+        parse_list(" , ")
