@@ -20,10 +20,11 @@ def reference_sites(chunks: DataFrame) -> DataFrame:
     more base on either side (an empty text at a contig's end), so that contexts don't break at its borders.
     """
     s = F.upper(F.concat(F.rpad(F.coalesce(F.col("pad.before"), F.lit("")), 1, "-"), "seq", F.coalesce(F.col("pad.after"), F.lit(""))))
-    places = chunks.where(F.length("seq") > 0).select("contig", "start", s.alias("s"), F.explode(F.sequence(F.lit(1), F.length("seq"))).alias("i"))
-    base = F.substr("s", F.col("i") + 1, F.lit(1))
-    rows = places.select("contig", (F.col("start") + F.col("i") - 1).cast("long").alias("pos"), base.alias("base"),
-                         bases.site_context(F.substr("s", "i", F.lit(1)), base, F.substr("s", F.col("i") + 2, F.lit(1))).alias("context"))
+    letters = chunks.where(F.length("seq") > 0).select("contig", "start", F.length("seq").alias("n"), F.split(s, "").alias("c"))
+    three = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.struct(i.alias("i"), F.get("c", i - 1).alias("p"), F.get("c", i).alias("b"), F.get("c", i + 1).alias("a")))
+    found = letters.select("contig", "start", F.explode(F.filter(three, lambda t: t["b"].isin("C", "G"))).alias("t"))  # the chunk itself isn't repeated
+    context = bases.site_context(F.col("t.p"), F.col("t.b"), F.col("t.a"))
+    rows = found.select("contig", (F.col("start") + F.col("t.i") - 1).cast("long").alias("pos"), F.col("t.b").alias("base"), context.alias("context"))
     return rows.where("context is not null").select("contig", "pos", "context", bases.site_strand(F.col("context"), F.col("base")).alias("strand"))
 
 
@@ -34,11 +35,12 @@ def first_sites(sites: DataFrame, n: int) -> DataFrame:
 
 
 def aligned_bases(alignments: DataFrame, min_mapq: int = 0, min_base_quality: int = 0) -> DataFrame:
-    """One row per aligned base of properly paired reads: ``name, flag, contig, pos, qpos, qual`` and the read's columns.
+    """One row per aligned base of properly paired reads: ``name, flag, spot, contig, pos, qpos, n, qual, base, before, after``.
 
     ``alignments`` has ``name, flag, mapq, contig, start, cigar, seq, quals, yd, spot``: ``cigar`` is an array of
     ``(op, len)``, ``quals`` an array of numbers or null. Reads with an unclear conversion strand (``yd`` is u) are
-    left out. Deleted and skipped bases give no row; inserted and clipped ones have no reference place.
+    left out. Deleted and skipped bases give no row; inserted and clipped ones have no reference place. A row has the
+    read's length and the bases beside its own (empty past an end), not the whole read: many rows are shuffled.
     """
     ok = F.col("flag").isin(bases.PAIRED_FLAGS) & (F.coalesce("mapq", F.lit(0)) >= min_mapq) & (F.coalesce("yd", F.lit("")) != "u")
     step = lambda a, c: F.struct(
@@ -51,8 +53,13 @@ def aligned_bases(alignments: DataFrame, min_mapq: int = 0, min_base_quality: in
     reads = alignments.where(ok & F.col("seq").isNotNull()).withColumn("blocks", F.aggregate(cigar, zero, step, lambda a: a["blocks"]))
     blocks = reads.withColumn("b", F.explode("blocks")).drop("blocks", "cigar")
     rows = blocks.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("b.n") - 1)))
-    out = rows.withColumn("pos", (F.col("start") + F.col("b.r") + F.col("k")).cast("long")).withColumn("qpos", F.col("b.q") + F.col("k")).drop("b", "k", "start")
-    return out.withColumn("qual", F.get("quals", F.col("qpos"))).drop("quals").where(F.coalesce("qual", F.lit(255)) >= min_base_quality)
+    placed = rows.withColumn("qpos", F.col("b.q") + F.col("k"))
+    at = lambda k: F.upper(F.substr("seq", F.col("qpos") + k, F.lit(1)))
+    out = placed.select(
+        "name", "flag", "spot", "contig", (F.col("start") + F.col("b.r") + F.col("k")).cast("long").alias("pos"), "qpos", F.length("seq").alias("n"),
+        F.get("quals", F.col("qpos")).alias("qual"), at(1).alias("base"), F.when(F.col("qpos") > 0, at(0)).otherwise("").alias("before"), at(2).alias("after"),
+    )
+    return out.where(F.coalesce("qual", F.lit(255)) >= min_base_quality)
 
 
 def without_overlaps(rows: DataFrame) -> DataFrame:
@@ -79,15 +86,15 @@ def site_calls(
     """
     joined = rows.join(sites, ["contig", "pos"])
     joined = without_overlaps(joined) if mates_once else joined
-    at = lambda k: F.upper(F.substr("seq", F.col("qpos") + 1 + k, F.lit(1)))
-    flag, q, n = F.col("flag"), F.col("qpos"), F.length("seq")
+    flag, q, n, base, after = (F.col(c) for c in ("flag", "qpos", "n", "base", "after"))
     is_cg, plus = F.col("context") == "CG", F.col("strand") == "+"
     side = F.when(is_cg | plus, 1).otherwise(-1)
+    beside = F.when(is_cg | plus, after).otherwise(F.col("before"))
     inside = (q + side >= 0) & (q + side < n)
     kept = ~bases.trimmed(flag, q, n, r1, r2) & ~bases.trimmed(flag, q + side, n, r1, r2)
     on_strand = F.when(is_cg, F.lit(True)).when(plus, flag.isin(bases.TOP_FLAGS)).otherwise(flag.isin(bases.BOTTOM_FLAGS))
-    fits = is_cg | bases.neighbour_fits(F.col("context"), F.col("strand"), at(side))
-    state = F.when(is_cg, bases.cg_methylated(F.concat(at(0), at(1)), converted)).otherwise(bases.ch_methylated(at(0), F.col("strand"), converted))
+    fits = is_cg | bases.neighbour_fits(F.col("context"), F.col("strand"), beside)
+    state = F.when(is_cg, bases.cg_methylated(F.concat(base, after), converted)).otherwise(bases.ch_methylated(base, F.col("strand"), converted))
     called = joined.where(inside & kept & on_strand & fits).withColumn("methylated", state).where("methylated is not null")
     return called.select("spot", "contig", "pos", "context", "strand", "methylated")
 
@@ -196,9 +203,8 @@ def predicted(fit: DataFrame, fraction: float) -> DataFrame:
 def mbias(rows: DataFrame, sites: DataFrame, max_cycle: int, right_align: bool = False, min_coverage: int = MIN_CYCLE_COVERAGE) -> DataFrame:
     """``read, cycle, meth, unmeth, coverage, rate``: conversion at CG sites by read and cycle, over cycles with more than ``min_coverage``."""
     cg = sites.where("context = 'CG'").select("contig", "pos")
-    flag, q, n = F.col("flag"), F.col("qpos"), F.length("seq")
-    at = lambda k: F.upper(F.substr("seq", F.col("qpos") + 1 + k, F.lit(1)))
-    state = bases.cg_methylated(F.concat(at(0), at(1)))
+    flag, q, n = F.col("flag"), F.col("qpos"), F.col("n")
+    state = bases.cg_methylated(F.concat("base", "after"))
     cyc = bases.cycle(flag, q, n, max_cycle if right_align else None)
     return _by_cycle(rows.join(cg, ["contig", "pos"]).where(q + 1 < n), cyc, state, max_cycle, min_coverage)
 
@@ -209,9 +215,9 @@ def mbias_by_strand(rows: DataFrame, sites: DataFrame, max_cycle: int, min_cover
     top = cg.select("contig", "pos", F.lit(True).alias("top"))
     places = top.unionByName(cg.select("contig", (F.col("pos") + 1).alias("pos"), F.lit(False).alias("top")))
     flag = F.col("flag")
-    state = bases.top_bottom_methylated(F.upper(F.substr("seq", F.col("qpos") + 1, F.lit(1))), flag)
+    state = bases.top_bottom_methylated(F.col("base"), flag)
     joined = rows.join(places, ["contig", "pos"]).where(flag.isin(bases.TOP_FLAGS) == F.col("top"))
-    return _by_cycle(joined, bases.cycle(flag, F.col("qpos"), F.length("seq")), state, max_cycle, min_coverage)
+    return _by_cycle(joined, bases.cycle(flag, F.col("qpos"), F.col("n")), state, max_cycle, min_coverage)
 
 
 def _by_cycle(rows: DataFrame, cyc: Column, state: Column, max_cycle: int, min_coverage: int) -> DataFrame:

@@ -141,7 +141,7 @@ class FastqPairSource(_Source):
 
 
 class FastaSource(_Source):
-    """Contigs in chunks of ``chunk`` bases (2,000,000 if not given) with one more base on either side in ``pad``."""
+    """Contigs in chunks of ``chunk`` bases (100,000 if not given) with one more base on either side in ``pad``."""
 
     fields, endings = FASTA, (".fa", ".fasta", ".fa.gz", ".fasta.gz")
 
@@ -150,7 +150,7 @@ class FastaSource(_Source):
         return "fasta"
 
     def rows(self, part: File) -> Iterator[tuple]:
-        size = int(self.options.get("chunk", 2_000_000))
+        size = int(self.options.get("chunk", 100_000))
         contig, start, before, held = None, 0, "", ""
 
         def cut(final: bool) -> Iterator[tuple]:
