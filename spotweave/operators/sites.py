@@ -297,12 +297,18 @@ def intervals_joined(sites: DataFrame, regions: DataFrame, bucket: int = 1 << 14
 
 
 def smoothed(sites: DataFrame, bandwidth: int, weighted: bool = False) -> DataFrame:
-    """``contig, pos, smooth``: the mean fraction of sites within ``bandwidth`` bases, weighted by log(1 + reads) if asked."""
+    """``contig, pos, smooth``: the mean fraction of sites within ``bandwidth`` bases, weighted by log(1 + reads) if asked.
+
+    Contigs are cut into stretches of many bandwidths; a site near a border stands in both, so no task holds a contig.
+    """
     total = F.col("meth") + F.col("unmeth")
     rows = sites.groupBy("contig", "pos").agg(F.sum("meth").alias("meth"), F.sum("unmeth").alias("unmeth")).where(total > 0)
-    w = Window.partitionBy("contig").orderBy("pos").rangeBetween(-bandwidth, bandwidth)
-    weight = F.log1p(total) if weighted else F.lit(1.0)
-    return rows.select("contig", "pos", (F.sum(F.col("meth") / total * weight).over(w) / F.sum(weight).over(w)).alias("smooth"))
+    stretch = max(64 * bandwidth, 1 << 16)
+    near = F.sequence(F.floor((F.col("pos") - bandwidth) / stretch), F.floor((F.col("pos") + bandwidth) / stretch))
+    cut = rows.select("contig", "pos", (F.col("meth") / total).alias("frac"), (F.log1p(total) if weighted else F.lit(1.0)).alias("w"), F.explode(near).alias("k"))
+    w = Window.partitionBy("contig", "k").orderBy("pos").rangeBetween(-bandwidth, bandwidth)
+    mean = F.sum(F.col("frac") * F.col("w")).over(w) / F.sum("w").over(w)
+    return cut.withColumn("smooth", mean).where(F.floor(F.col("pos") / stretch) == F.col("k")).select("contig", "pos", "smooth")
 
 
 def variable_regions(cov: DataFrame, width: int, step: int, share: float) -> DataFrame:

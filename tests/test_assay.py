@@ -331,3 +331,22 @@ def test_lists():
     assert parse_list(" a, b,,a ") == ["a", "b"]
     with pytest.raises(ValueError):
         parse_list(" , ")
+
+
+def test_smoothing_across_stretches(spark):
+    r = random.Random(3)
+    data = {p: (r.randint(0, 5), r.randint(1, 5)) for p in r.sample(range((1 << 16) * 3), 4000)}
+    df = cov(spark, *(("s", "c", p, "CG", m, u) for p, (m, u) in data.items()))
+    for x in sites.smoothed(df, 40).collect():
+        near = [m / (m + u) for p, (m, u) in data.items() if abs(p - x.pos) <= 40]
+        assert math.isclose(x.smooth, sum(near) / len(near))
+    assert sites.smoothed(df, 40).count() == len(data)
+
+
+def test_regions_by_brute_force(spark, rows):
+    r = random.Random(4)
+    places = [(r.choice("ab"), r.randint(0, 60_000)) for _ in range(500)]
+    regions = [(i, r.choice("ab"), s, s + r.randint(1, 30_000)) for i, s in enumerate(r.sample(range(50_000), 20))]
+    got = sites.intervals_joined(spark.createDataFrame(places, "contig string, pos bigint"), spark.createDataFrame(regions, "region int, contig string, start bigint, end bigint"))
+    want = [(i, c, p) for c, p in places for i, d, s, e in regions if c == d and s <= p < e]
+    assert rows(got, "region", "contig", "pos") == sorted(want, key=repr)
