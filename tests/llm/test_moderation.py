@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from spotweave.llm import moderation as m
 
@@ -105,3 +106,10 @@ def test_long_text(spark, judged):
     df = spark.createDataFrame([(1, long), (2, "We met in town, Ann.\n" * 20_000)], "doc_id bigint, text string")
     got = {r.doc_id: r.score for r in m.scored(df, models).collect()}
     assert got[1] >= cutoff > got[2]
+
+
+def test_clashing_columns_and_repeated_rows(spark, judged):
+    extra = {n: F.lit("x") for n in ("score", "abusive", "toxic", "fold", "words", "share", "held")}
+    d = judged[2].unionByName(judged[2].where("doc_id = 5")).withColumns(extra)
+    got = m.moderated(d, judged[3].withColumns({n: F.lit(1) for n in ("toxic", "share", "text")}), "source")
+    assert got.columns == ["doc_id", "source", "score", "abusive"] and got.where("doc_id = 5").count() == 2 and got.count() == judged[2].count() + 1
