@@ -88,3 +88,10 @@ def test_large_partitions_become_several_files(spark, table, tmp_path):
 def test_empty(spark, table):
     parted, found = run(spark.createDataFrame([], SCHEMA), table)
     assert found.count() == 0 and c.adding_nothing(parted, found).count() == 0
+
+
+def test_clashing_columns(spark, table, rows):
+    clash = {n: F.lit(7) for n in ("reads", "barcode", "lines", "line", "slices", "first", "part", "n_small", "fingerprint", "text")}
+    df = files(spark, (1, "S", 1, "barcode\treads\nAC\t5\n"), (2, "S", 1, "barcode\treads\nAC\t5\n")).withColumns(clash)
+    parted, found = run(df, table)
+    assert rows(found, *c.RECORD, "file_id") == [("S", 1, "AC", 5, 1)] and rows(c.adding_nothing(parted, found)) == [(2,)]
