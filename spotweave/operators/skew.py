@@ -22,12 +22,7 @@ BROADCAST_OFFSETS = 200_000
 
 def _offsets(rows: DataFrame) -> DataFrame:
     """Per key and input partition: how many records of the key stand in earlier partitions."""
-    counts = rows.groupBy("_key", "_part").agg(
-        F.count(F.lit(1)).alias("_count"),
-        F.min("_row").alias("_first"),
-        F.min("_file").alias("_file"),
-        F.min("_block").alias("_block"),
-    )
+    counts = rows.groupBy("_key", "_part", "_file", "_block").agg(F.count(F.lit(1)).alias("_count"), F.min("_row").alias("_first"))
     before = Window.partitionBy("_key").orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(
         F.col("_key").alias("_k"),
