@@ -1,15 +1,17 @@
 """Compaction of very many small count files into few files of good size.
 
 Partition-local: the listing of the files gives the partitions that hold too many small ones, and only these
-are rewritten, with a dynamic overwrite of their folders. Snapshots protect it: every run works on the version
-it saw, claims the next one before it writes (two runs can't both do that), and leaves a manifest of which set
-of files each rewritten partition covers. Files that arrive meanwhile change that fingerprint, so the next run
-takes the partition again and no record is lost.
+are rewritten, into new files of their folders. Snapshots protect it: every run works on the version it saw,
+claims the next one before it writes (two runs can't both do that), marks what it writes with a name of its own,
+and leaves a manifest of which set of files each rewritten partition covers and which run wrote it. Only that is
+read: what a failed run left isn't. Files that arrive meanwhile change the fingerprint of their partition, which is
+then read from its files until a run has taken it again, so no record is lost.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -74,15 +76,42 @@ class SnapshotTable:
         self._create(f"{version}.ok")
 
     def manifest(self, version: int | None = None) -> DataFrame:
-        """``part, n_files, n_small, n_bytes, fingerprint`` of the partitions as they were last rewritten."""
+        """``part, n_files, n_small, n_bytes, fingerprint, run`` of the partitions as they were last rewritten."""
         version = self.version() if version is None else version
-        schema = "part int, n_files bigint, n_small bigint, n_bytes bigint, fingerprint bigint"
+        schema = "part int, n_files bigint, n_small bigint, n_bytes bigint, fingerprint bigint, run string"
         return self.spark.read.schema(schema).parquet(f"{self.path}/_snapshots/manifest-{version}") if version else self.spark.createDataFrame([], schema)
 
-    def read(self) -> DataFrame:
-        """The compacted records with the least ``file_id`` that holds each."""
+    def n_parts(self, first: int) -> int:
+        """How many partitions the table's files are spread over: ``first``, unless that was settled before."""
+        fs, at = self._fs("")
+        settled = lambda: [int(n[6:]) for n in (s.getPath().getName() for s in fs.listStatus(at)) if n.startswith("parts-")]
+        if not fs.exists(at) or not settled():
+            mark_fs, mark = self._fs(f"parts-{first}")
+            mark_fs.create(mark, True).close()
+        return min(settled())
+
+    def _written(self, parts: DataFrame, how: str) -> DataFrame:
+        """The rows under ``path`` with (``left_semi``) or without (``left_anti``) a partition and run in ``parts``, and their ``file``."""
+        schema = "sample_id string, chunk_id int, barcode string, reads bigint, file_id bigint, run string, part int"
+        rows = self.spark.read.schema(schema).parquet(self.path).withColumn("file", F.col("_metadata.file_path"))
+        listed = broadcast_if_small(parts.select(F.col("part").alias("_part"), F.col("run").alias("_run")), BROADCAST_PARTS)
+        return rows.join(listed, (F.col("part") == F.col("_part")) & F.col("run").eqNullSafe(F.col("_run")), how)
+
+    def read(self, parts: DataFrame | None = None) -> DataFrame:
+        """The compacted records with the least ``file_id`` that holds each, of the rows ``parts`` of the manifest (all by default)."""
         schema = "sample_id string, chunk_id int, barcode string, reads bigint, file_id bigint, part int"
-        return self.spark.read.schema(schema).parquet(self.path) if self.version() else self.spark.createDataFrame([], schema)
+        if not self.version():
+            return self.spark.createDataFrame([], schema)
+        return self._written(self.manifest() if parts is None else parts, "left_semi").select(*RECORD, "file_id", "part")
+
+    def clear(self, version: int) -> None:
+        """Deletes the files that ``version``, the last one, doesn't list; only for the run that claimed the next one."""
+        jvm = self.spark.sparkContext._jvm
+        fs, at = self._fs("")
+        if not any(s.getPath().getName().startswith("part=") for s in fs.listStatus(at.getParent())):
+            return
+        for row in self._written(self.manifest(version), "left_anti").select("file").distinct().toLocalIterator():
+            fs.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row["file"])), False)
 
 
 def records(files: DataFrame) -> DataFrame:
@@ -142,7 +171,9 @@ def compact(files: DataFrame, table: SnapshotTable, max_small_files: int, small_
     if not n:
         return todo
     table.claim(version + 1)
+    run = uuid.uuid4().hex
     try:
+        table.clear(version)
         slices = F.greatest(F.ceil(F.col("n_bytes") / target_bytes), F.lit(1)).cast("int")
         before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
         plan = todo.select("part", slices.alias("slices"), F.coalesce(F.sum(slices).over(before), F.lit(0)).cast("int").alias("first"))
@@ -154,31 +185,36 @@ def compact(files: DataFrame, table: SnapshotTable, max_small_files: int, small_
             kept.join(small(plan), "part")
             .repartitionById(n_out, out)
             .sortWithinPartitions("part", *RECORD)
-            .select(*RECORD, "file_id", "part")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .select(*RECORD, "file_id", F.lit(run).alias("run"), "part")
+            .write.mode("append")
             .option("compression", "zstd")
             .partitionBy("part")
             .parquet(table.path)
         )
         before = table.manifest(version).join(todo.select("part"), "part", "left_anti")
-        table.commit(version + 1, before.unionByName(todo.select("part", "n_files", "n_small", "n_bytes", "fingerprint")))
+        table.commit(version + 1, before.unionByName(todo.select("part", "n_files", "n_small", "n_bytes", "fingerprint", F.lit(run).alias("run"))))
     except BaseException:
         table.release(version + 1)
         raise
     return todo
 
 
-def with_parts(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """``files`` with ``part``, in as many partitions as make about ``target_bytes`` each."""
+def with_parts(files: DataFrame, target_bytes: int = TARGET_BYTES, table: SnapshotTable | None = None) -> DataFrame:
+    """``files`` with ``part``, in as many partitions as make about ``target_bytes`` each, or as ``table`` already has."""
     total = files.agg(F.sum("n_bytes")).first()[0] or 0
-    return files.withColumn("part", partition_of(max(1, math.ceil(total / target_bytes))))
+    n = max(1, math.ceil(total / target_bytes))
+    return files.withColumn("part", partition_of(table.n_parts(n) if table else n))
 
 
 def all_records(files: DataFrame, table: SnapshotTable) -> DataFrame:
-    """Every record once: those of rewritten partitions from ``table``, the others from their few files."""
-    rest = files.join(broadcast_if_small(table.manifest().select("part"), BROADCAST_PARTS), "part", "left_anti")
-    return table.read().select("part", *RECORD, "file_id").unionByName(unique(records(rest)))
+    """Every record of ``files`` once: those of partitions that ``table`` covers with the same set of files from it,
+    the others wholly from their files."""
+    version = table.version()
+    if not version:
+        return unique(records(files))
+    covered = stage(table.manifest(version).join(listing(files, 0).select("part", "fingerprint"), ["part", "fingerprint"]), "compact-covered")
+    rest = files.join(broadcast_if_small(covered.select("part"), BROADCAST_PARTS), "part", "left_anti")
+    return table.read(covered).select("part", *RECORD, "file_id").unionByName(unique(records(rest)))
 
 
 def adding_nothing(files: DataFrame, compacted: DataFrame) -> DataFrame:

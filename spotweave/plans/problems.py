@@ -19,8 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _compacted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    files = compaction.with_parts(table(spark, sf_dir, "count_files"))
     store = compaction.SnapshotTable(spark, new_path(spark, "compacted"))
+    files = compaction.with_parts(table(spark, sf_dir, "count_files"), table=store)
     compaction.compact(files, store, max_small_files=1, small_bytes=compaction.TARGET_BYTES // 2)
     return files, compaction.all_records(files, store)
 

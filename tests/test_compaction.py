@@ -95,3 +95,44 @@ def test_clashing_columns(spark, table, rows):
     df = files(spark, (1, "S", 1, "barcode\treads\nAC\t5\n"), (2, "S", 1, "barcode\treads\nAC\t5\n")).withColumns(clash)
     parted, found = run(df, table)
     assert rows(found, *c.RECORD, "file_id") == [("S", 1, "AC", 5, 1)] and rows(c.adding_nothing(parted, found)) == [(2,)]
+
+
+def test_files_newer_than_the_table_are_read(spark, table, rows):
+    first = files(spark, (1, "A", 1, "barcode\treads\nAC\t1"), (2, "A", 1, "barcode\treads\nAC\t2")).withColumn("part", F.lit(0))
+    c.compact(first, table, 1, 1 << 20)
+    more = first.unionByName(files(spark, (9, "A", 1, "barcode\treads\nAC\t9\nAC\t2")).withColumn("part", F.lit(0)))
+    assert rows(c.all_records(more, table), "reads", "file_id") == [(1, 1), (2, 2), (9, 9)]
+    assert rows(c.all_records(first, table), "reads", "file_id") == [(1, 1), (2, 2)]
+    assert c.compact(more, table, 5, 1 << 20).count() == 0  # few enough small files to stay as they are
+    assert rows(c.all_records(more, table), "reads", "file_id") == [(1, 1), (2, 2), (9, 9)]
+
+
+def test_nothing_is_read_of_a_run_that_failed_to_commit(spark, table, rows, monkeypatch, tmp_path):
+    first = files(spark, (1, "A", 1, "barcode\treads\nAC\t1"), (2, "A", 1, "barcode\treads\nAC\t2")).withColumn("part", F.lit(0))
+    c.compact(first, table, 1, 1 << 20)
+    more = first.unionByName(files(spark, (9, "A", 1, "barcode\treads\nAC\t9")).withColumn("part", F.lit(0)))
+    more = more.unionByName(files(spark, (4, "B", 1, "barcode\treads\nAC\t4"), (5, "B", 1, "barcode\treads\nAC\t5")).withColumn("part", F.lit(1)))
+    with monkeypatch.context() as m:
+        m.setattr(c.SnapshotTable, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError, match="died"):
+            c.compact(more, table, 1, 1 << 20)
+    assert rows(table.read(), "reads") == [(1,), (2,)]
+    assert rows(c.all_records(first, table), "reads") == [(1,), (2,)]
+    assert rows(c.all_records(more, table), "reads") == [(1,), (2,), (4,), (5,), (9,)]
+    c.compact(more, table, 1, 1 << 20)
+    assert rows(table.read(), "reads") == rows(c.all_records(more, table), "reads") == [(1,), (2,), (4,), (5,), (9,)]
+    last = more.unionByName(files(spark, (6, "B", 1, "barcode\treads\nAC\t6")).withColumn("part", F.lit(1)))
+    c.compact(last, table, 1, 1 << 20)
+    assert rows(table.read(), "reads") == [(1,), (2,), (4,), (5,), (6,), (9,)]
+    assert {p.parent.name for p in (tmp_path / "t").glob("part=*/*.parquet")} == {"part=0", "part=1"}
+    assert len(list((tmp_path / "t" / "part=0").glob("*.parquet"))) == 1  # those of older runs are gone
+
+
+def test_a_table_keeps_its_number_of_partitions(spark, table, rows):
+    text = "barcode\treads\nAC\t1"
+    few = files(spark, *((i, f"S{i}", i, text) for i in range(4)))
+    many = files(spark, *((i, f"S{i}", i, text) for i in range(40)))
+    size = 2 * len(text)
+    before = {(r["file_id"], r["part"]) for r in c.with_parts(few, size, table).collect()}
+    after = {(r["file_id"], r["part"]) for r in c.with_parts(many, size, table).collect()}
+    assert before <= after and {p for _, p in after} <= {0, 1}
