@@ -508,6 +508,16 @@ def whitelist_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.join(reads.neighbourhood(table(spark, sf_dir, "barcode_whitelist"), 1), "seen")
 
 
+# both barcodes of a spot: letters 1 to 10 and 11 to 20
+@query("with wl as (select distinct upper(trim(barcode)) as bc from barcode_whitelist where trim(barcode) <> ''), b as (select distinct upper(trim(barcode)) as b from spot_counts where length(trim(barcode)) = 20), "
+       "o as (select b[1:10] as seen from b union select b[11:20] from b), d as (select seen, bc, hamming(seen, bc) as d from o cross join wl), m as (select *, min(d) over (partition by seen) as m from d) "
+       "select seen, min(bc) as barcode, cast(min(d) as int) as distance from m where d = m and m <= 1 group by seen having count(*) = 1")
+def whitelist_nearest_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = table(spark, sf_dir, "spot_counts").select(F.upper(F.trim("barcode")).alias("b")).where(F.length("b") == 20)
+    seen = b.select(F.explode(F.array(F.substring("b", 1, 10), F.substring("b", 11, 10))).alias("seen")).distinct()
+    return seen.join(reads.neighbourhood(table(spark, sf_dir, "barcode_whitelist"), 1), "seen")
+
+
 _HITS = _GOOD + ", m as (select row_id, seq, len(regexp_extract_all(upper(seq), 'GG[CT]')) as k from good)"
 
 

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 
@@ -23,3 +24,13 @@ def test_cycles_over_60_are_counted(spark, name, shift):
     assert moved < whole  # R1 is aligned to its right end, which moves from 60 to 150
     left = whole - moved
     assert any(r == "R2" and c > 60 for r, c, *_ in left) and any(r == "R1" and (c > 60 if not shift else c <= 90) for r, c, *_ in left)
+
+
+def test_both_halves_are_looked_up(spark, tmp_path):
+    counts = [(" aaaaaaaaaaccccccccct ",), ("AAAAAAAAAACCCCCCCCCC",), ("CCCCCCCCCCGGGGGGGGGG",), ("AAAAAAAAAA",), (None,)]
+    spark.createDataFrame(counts, "barcode string").write.parquet(str(tmp_path / "spot_counts.parquet"))
+    spark.createDataFrame([("AAAAAAAAAA",), ("CCCCCCCCCC",)], "barcode string").write.parquet(str(tmp_path / "barcode_whitelist.parquet"))
+    df = QUERIES["whitelist_nearest_halves"](spark, str(tmp_path))
+    assert sorted(map(tuple, df.select("seen", "barcode", F.col("distance")).collect())) == [
+        ("AAAAAAAAAA", "AAAAAAAAAA", 0), ("CCCCCCCCCC", "CCCCCCCCCC", 0), ("CCCCCCCCCT", "CCCCCCCCCC", 1)
+    ]
