@@ -81,7 +81,8 @@ def demultiplex(reads: DataFrame, listed: DataFrame, layout: Layout) -> DataFram
     ``reason`` is the first that holds of ``short_r1``, ``linker2_not_found``, ``out_of_bounds``, ``tn5_not_found``,
     ``barcode1_not_in_whitelist`` and ``barcode2_not_in_whitelist``, or ``kept``. A kept read's name begins with its
     spot, ``@<B><A>:``, and its sequence and qualities begin at the insert; others go on as they came. Barcodes are
-    compared in upper case and rescued if exactly one listed one is nearest within the distance.
+    compared in upper case and rescued if exactly one listed one is nearest within the distance. A second mate, the
+    struct ``r2`` of read pairs, goes on whole; a kept one's name begins with the spot too.
     """
     least = layout.b_length + len(layout.linker) + layout.a_length + len(layout.anchor)
     near = broadcast_if_small(stage(neighbourhood(listed, layout.barcode_distance), "barcode-spellings"), BROADCAST_VARIANTS)
@@ -104,11 +105,12 @@ def demultiplex(reads: DataFrame, listed: DataFrame, layout: Layout) -> DataFram
     )
     rows = rows.withColumn("reason", reason)
     kept = F.col("reason") == "kept"
-    marked = F.concat(F.lit("@"), "barcode_b", "barcode_a", F.lit(":"), F.substr("name", F.lit(2)))
+    marked = lambda name: F.concat(F.lit("@"), "barcode_b", "barcode_a", F.lit(":"), F.substr(name, F.lit(2)))
+    mate = [F.col("r2").withField("name", F.when(kept, marked(F.col("r2.name"))).otherwise(F.col("r2.name"))).alias("r2")] if "r2" in reads.columns else []
     cut = lambda c: F.when(kept, F.substr(c, F.col("_insert") + 1)).otherwise(F.col(c)).alias(c)
     return rows.select(
         "row_id", "reason", F.when(kept, F.col("barcode_b")).alias("barcode_b"), F.when(kept, F.col("barcode_a")).alias("barcode_a"),
-        F.when(kept, marked).otherwise(F.col("name")).alias("name"), cut("seq"), cut("qual"),
+        F.when(kept, marked(F.col("name"))).otherwise(F.col("name")).alias("name"), cut("seq"), cut("qual"), *mate,
     )
 
 

@@ -73,7 +73,17 @@ def _one(lines: DataFrame, path: str) -> None:
 
 
 def write_demultiplexed(demuxed: DataFrame, path: str) -> None:
-    """FASTQ text in folders ``route=demux`` and ``route=spike``, gzip compressed: kept reads and all others."""
+    """FASTQ text in folders ``route=demux`` and ``route=spike``, gzip compressed: kept reads and all others.
+
+    With second mates (``r2``) these lie in ``mate=R1`` and ``mate=R2``; a task writes both mates in the same order.
+    """
     route = F.when(F.col("reason") == "kept", "demux").otherwise("spike").alias("route")
     record = F.concat_ws("\n", "name", "seq", F.lit("+"), "qual").alias("value")
-    demuxed.select(record, route).write.mode("overwrite").option("compression", "gzip").partitionBy("route").text(path)
+    if "r2" not in demuxed.columns:
+        demuxed.select(record, route).write.mode("overwrite").option("compression", "gzip").partitionBy("route").text(path)
+        return
+    second = F.concat_ws("\n", "r2.name", "r2.seq", F.col("r2.plus"), "r2.qual")
+    both = F.array(F.struct(F.lit("R1").alias("mate"), record), F.struct(F.lit("R2").alias("mate"), second.alias("value")))
+    pairs = demuxed.select(route, F.monotonically_increasing_id().alias("k"), both.alias("both")).select("route", "k", F.inline("both"))
+    lines = pairs.sortWithinPartitions("mate", "route", "k").select("value", "mate", "route")
+    lines.write.mode("overwrite").option("compression", "gzip").partitionBy("mate", "route").text(path)

@@ -147,3 +147,28 @@ def test_demultiplexed_files(spark, tmp_path):
     sinks.write_demultiplexed(df, str(tmp_path / "d"))
     read = lambda r: "".join(gzip.open(p, "rt").read() for p in (tmp_path / "d" / f"route={r}").glob("*.gz"))
     assert read("demux") == "@AC:r\nAC\n+\nII\n" and read("spike") == "@q\nA\n+\nI\n"
+
+
+def test_both_mates_of_pairs_are_written(spark, tmp_path):
+    from spotweave.operators import reads
+
+    pair = "row_id bigint, name string, seq string, qual string, r2 struct<name: string, seq: string, plus: string, qual: string>"
+    data = []
+    for i in range(40):
+        seq = "AAAATGTGTGTGGGCCACGT" if i % 3 else "AC"
+        data.append((i, f"@r{i} 1", seq, "I" * len(seq), (f"@r{i} 2", "TTTT", "+x", "JJJJ")))
+    listed = spark.createDataFrame([("AAAA",), ("GGCC",)], "barcode string")
+    found = reads.demultiplex(spark.createDataFrame(data, pair).repartition(3), listed, reads.Layout("TGTGTGTG", "", 4, 4))
+    sinks.write_demultiplexed(found, str(tmp_path / "d"))
+
+    def read(mate, route):
+        files = sorted((tmp_path / "d" / f"mate={mate}" / f"route={route}").glob("*.gz"))
+        lines = "".join(gzip.open(p, "rt").read() for p in files).splitlines()
+        return [tuple(lines[i : i + 4]) for i in range(0, len(lines), 4)]
+
+    for route, n in (("demux", 26), ("spike", 14)):
+        first, second = read("R1", route), read("R2", route)
+        assert len(first) == n and [r[0][:-1] for r in first] == [r[0][:-1] for r in second]
+        assert {r[1:] for r in second} == {("TTTT", "+x", "JJJJ")}
+    assert ("@AAAAGGCC:r1 2", "TTTT", "+x", "JJJJ") in read("R2", "demux") and ("@r0 2", "TTTT", "+x", "JJJJ") in read("R2", "spike")
+    assert ("@AAAAGGCC:r1 1", "ACGT", "+", "IIII") in read("R1", "demux")
