@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import spot_key
-from ..operators import compaction, cutoff, drift, rejects, skew
+from ..operators import compaction, drift, rejects, skew
 from ..staging import new_path, stage
 
 #: Fields of the per-spot methylation statistics (fixed values).
@@ -71,13 +71,7 @@ def p4_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.withColumnsRenamed({"grp": "sample_id", "key": "barcode"})
 
 
-def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cutoff.latest(table(spark, sf_dir, "spot_counts"), "count_id", "received_at", "sample_id", "reads")
-    targets = table(spark, sf_dir, "keep_targets").select(F.col("sample_id").alias("grp"), F.col("keep_permille").alias("permille"))
-    return cutoff.cutoffs(rows.select(F.col("sample_id").alias("grp"), F.col("reads").alias("value")), targets).withColumnRenamed("grp", "sample_id")
-
-
-QUERIES = {f.__name__: f for f in (p1_found, p1_compacted, p2_found, p2_loaded, p3_found, p3_totals, p3_runs, p4_found, p4_table, p5_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_compacted, p2_found, p2_loaded, p3_found, p3_totals, p3_runs, p4_found, p4_table)}
 
 _COUNT_RECORDS = r"""
 with lines as (select file_id, sample_id, chunk_id, string_split_regex(content, '\r\n|\n|\r') as l from count_files),
@@ -145,11 +139,4 @@ with s as (select upper(trim(barcode)) as barcode, contig, counted_at,
   from spot_counts window w as (partition by upper(trim(barcode)) order by counted_at, count_id, received_at, coalesce(contig, '')))
 select barcode, count(*) as n_rows, cast(sum(case when rn = 1 or contig is distinct from was then 1 else 0 end) as bigint) as n_runs,
   max(epoch_us(counted_at) - epoch_us(before)) as longest_gap_us from s group by barcode""",
-    "p5_found": """
-with last as (select count_id, arg_max(struct_pack(sample_id, reads), struct_pack(received_at, sample_id, reads)) as r from spot_counts group by count_id),
-recs as (select r.sample_id as sample_id, r.reads as reads from last where r.sample_id is not null and r.reads is not null),
-vals as (select sample_id, reads, count(*) as n from recs group by all),
-cum as (select sample_id, reads, sum(n) over (partition by sample_id order by reads desc) as upto, sum(n) over (partition by sample_id) as total from vals)
-select sample_id, max(reads) as threshold, cast(min(upto) as bigint) as n_kept
-from cum join keep_targets using (sample_id) where 1000 * upto >= keep_permille * total group by sample_id""",
 }
