@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -43,9 +44,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else ``df`` as it is.
+#: The most that is ever broadcast by a hint of ours.
+BROADCAST_BYTES = 64 << 20
 
-    ``df`` should be a staged table, so that counting it reads only file footers.
+
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows and ``max_bytes`` bytes, else ``df`` as it is.
+
+    ``df`` should be a staged table, since it's read for this. Values of variable length count by their text.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    wide = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType))]
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{n}`").cast("string")), F.lit(0)).cast("long") for n in wide), F.lit(8 * len(df.columns)).cast("long"))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -26,7 +27,7 @@ def norm(k):
     return None if k is None else k.strip().upper()
 
 
-@pytest.mark.parametrize("chunk", [1, 7, 100, 1 << 20])
+@pytest.mark.parametrize("chunk", [1, 7, 100, None])
 def test_totals(counts, rows, chunk):
     df, data = counts
     want = {}
@@ -40,11 +41,11 @@ def test_totals(counts, rows, chunk):
 
 def test_numbers_are_exact(counts):
     df, _ = counts
-    got = skew.numbered(df, spot_key("barcode"), {}).groupBy("_key").agg(F.count("*").alias("n"), F.countDistinct("_n").alias("d"), F.min("_n").alias("lo"), F.max("_n").alias("hi"))
+    got = skew.numbered(df, spot_key("barcode"), {}).rows.groupBy("_key").agg(F.count("*").alias("n"), F.countDistinct("_n").alias("d"), F.min("_n").alias("lo"), F.max("_n").alias("hi"))
     assert all(r.n == r.d == r.hi + 1 and r.lo == 0 for r in got.collect())
 
 
-@pytest.mark.parametrize("chunk", [1, 13, 10_000])
+@pytest.mark.parametrize("chunk", [1, 13, None])
 def test_runs(counts, rows, chunk):
     df, data = counts
     at = F.unix_seconds("at")
@@ -74,3 +75,27 @@ def test_edges(spark, rows):
     assert rows(skew.key_totals(odd, F.col("_key"), F.col("_n"))) == sorted([("a", 2, 0, None, None, None), ("x" * 100_000, 1, 1, 3, 3, 3)], key=repr)
     one = spark.createDataFrame([("a", 1)], "barcode string, reads bigint")
     assert rows(skew.key_runs(one, F.col("barcode"), F.col("reads"), F.lit(1), F.lit("x"))) == [("a", 1, 1, None)]
+
+
+def test_a_hot_key_has_several_chunks_by_itself(spark, counts):
+    df, data = counts
+    cut = skew.numbered(df.unionAll(df).unionAll(df).unionAll(df), spot_key("barcode"), {})
+    assert cut.total == 4 * len(data)
+    sizes = cut.chunked().where("_key = 'HOT'").groupBy("_chunk").count().collect()
+    assert len(sizes) > 2 and max(r["count"] for r in sizes) <= skew.chunk_size(spark, cut.total)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the test tables")
+def test_the_hot_barcodes_are_cut(spark):
+    cut = skew.numbered(spark.read.parquet("/root/testdata/sf0.1/spot_counts.parquet"), spot_key("barcode"), {})
+    chunks = cut.chunked().groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.max("_chunk").alias("last"))
+    hot = chunks.where((F.col("n") * 50 > cut.total) & F.col("_key").isNotNull()).collect()
+    assert len(hot) == 8 and max(r["last"] for r in hot) >= 1
+    assert all(r["last"] == (r["n"] - 1) // skew.chunk_size(spark, cut.total) for r in hot)
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 100])
+def test_running_totals(spark, rows, chunk):
+    df = spark.createDataFrame([(k, i, i % 3) for i in range(20) for k in ("a", None)], "k string, i bigint, v bigint")
+    got = skew.running_total(skew.numbered_in_order(df, F.col("k"), {"i": F.col("i")}, {"v": F.col("v")}).rows, "v", "upto", chunk)
+    assert rows(got, "_key", "i", "upto") == sorted([(k, i, sum(j % 3 for j in range(i + 1))) for i in range(20) for k in ("a", None)], key=repr)
