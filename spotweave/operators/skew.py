@@ -49,23 +49,23 @@ def _by_place(staged: DataFrame) -> Numbered:
     """
     m = F.col("_metadata")
     rows = staged.select("*", m["file_name"].alias("_file"), m["row_index"].alias("_row"))
-    counts = stage(rows.groupBy("_key", "_file").agg(F.count(F.lit(1)).alias("_count"), F.min("_row").alias("_first")), "chunk-counts")
+    counts = rows.groupBy("_key", "_file").agg(F.count(F.lit(1)).alias("_count"), F.min("_row").alias("_first"))
     before = Window.partitionBy("_key").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("_count").over(before), F.lit(0)) - F.col("_first")
-    offsets = stage(counts.select(F.col("_key").alias("_k"), F.col("_file").alias("_f"), shift.alias("_shift")), "chunk-offsets")
-    joined = rows.join(broadcast_if_small(offsets, BROADCAST_OFFSETS), F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_file") == F.col("_f")))
-    total = counts.agg(F.coalesce(F.sum("_count"), F.lit(0))).first()[0]
+    offsets = stage(counts.select(F.col("_key").alias("_k"), F.col("_file").alias("_f"), shift.alias("_shift"), "_count"), "chunk-offsets")
+    total = offsets.agg(F.coalesce(F.sum("_count"), F.lit(0))).first()[0]
+    joined = rows.join(broadcast_if_small(offsets.drop("_count"), BROADCAST_OFFSETS), F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_file") == F.col("_f")))
     return Numbered(joined.withColumn("_n", F.col("_row") + F.col("_shift")).drop("_k", "_f", "_shift", "_file", "_row"), total)
 
 
 def numbered(df: DataFrame, key: Column, keep: dict[str, Column]) -> Numbered:
-    """``_key, _n`` and the columns of ``keep``: each record's number, from 0, within its key in input order.
+    """``_key, _n`` and the columns of ``keep``: each record's number, from 0, within its key, in some order.
 
     Each input partition is read once, sorted by key on the spot and written to the shared folder, where no retried
     task can change a record's place any more. Null keys form a key of their own.
     """
-    picked = df.select(key.alias("_key"), *(c.alias(k) for k, c in keep.items())).withColumn("_row", F.monotonically_increasing_id())
-    return _by_place(stage(picked.sortWithinPartitions("_key", "_row").drop("_row"), "chunk-rows"))
+    picked = df.select(key.alias("_key"), *(c.alias(k) for k, c in keep.items()))
+    return _by_place(stage(picked.sortWithinPartitions("_key"), "chunk-rows"))
 
 
 def numbered_in_order(df: DataFrame, key: Column, order: dict[str, Column], keep: dict[str, Column]) -> Numbered:
