@@ -33,6 +33,16 @@ def p1_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _compacted(spark, sf_dir)[1].drop("part")
 
 
+def p1_in_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after two runs: one when half of the files had come, one when all had."""
+    store = compaction.SnapshotTable(spark, new_path(spark, "compacted"))
+    files = compaction.with_parts(table(spark, sf_dir, "count_files"), table=store)
+    half = files.agg(F.percentile_approx("received_at", 0.5)).first()[0]
+    for some in (files.where(F.col("received_at") <= half), files):
+        compaction.compact(some, store, max_small_files=1, small_bytes=compaction.TARGET_BYTES // 2)
+    return store.read().drop("part")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.rejected(rejects.parse_rows(table(spark, sf_dir, "fastq_rows")))
 
@@ -71,7 +81,7 @@ def p4_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.withColumnsRenamed({"grp": "sample_id", "key": "barcode"})
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_compacted, p2_found, p2_loaded, p3_found, p3_totals, p3_runs, p4_found, p4_table)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_compacted, p1_in_two_runs, p2_found, p2_loaded, p3_found, p3_totals, p3_runs, p4_found, p4_table)}
 
 _COUNT_RECORDS = r"""
 with lines as (select file_id, sample_id, chunk_id, string_split_regex(content, '\r\n|\n|\r') as l from count_files),
@@ -129,6 +139,7 @@ SQL = {
     "p4_found": _DRIFT,
     "p1_found": _COUNT_RECORDS + "select distinct file_id from count_files where file_id not in (select file_id from firsts)",
     "p1_compacted": _COUNT_RECORDS + "select sample_id, chunk_id, barcode, reads, file_id from firsts",
+    "p1_in_two_runs": _COUNT_RECORDS + "select sample_id, chunk_id, barcode, reads, file_id from firsts",
     "p2_found": _FASTQ + "select row_id, reason from judged where reason is not null",
     "p2_loaded": _FASTQ + "select row_id, name, seq, plus, qual from judged where reason is null",
     "p3_found": "select upper(trim(barcode)) as barcode from spot_counts where barcode is not null group by 1 having count(*) * 50 > (select count(*) from spot_counts)",
