@@ -81,7 +81,16 @@ def p4_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.withColumnsRenamed({"grp": "sample_id", "key": "barcode"})
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_compacted, p1_in_two_runs, p2_found, p2_loaded, p3_found, p3_totals, p3_runs, p4_found, p4_table)}
+def p4_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.steps(drift.compared(_stats_files(spark, sf_dir))).withColumnRenamed("grp", "sample_id")
+
+
+def p4_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each column of each file is: a field by its name, by renames, by an alias proven elsewhere, or none."""
+    return drift.file_columns(drift.compared(_stats_files(spark, sf_dir)), MEANS + COUNTS)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_compacted, p1_in_two_runs, p2_found, p2_loaded, p3_found, p3_totals, p3_runs, p4_found, p4_steps, p4_columns, p4_table)}
 
 _COUNT_RECORDS = r"""
 with lines as (select file_id, sample_id, chunk_id, string_split_regex(content, '\r\n|\n|\r') as l from count_files),
@@ -129,14 +138,73 @@ steps as (select o.file_id, o.name, o.code, case when list_contains(was, o.name)
 typed as (select file_id, name, code, null::bigint as before, null::varchar as old_name, 0 as prior from steps where old_name is null
   union all select s.file_id, s.name, case when s.code > 0 then s.code else t.code end, s.before, s.old_name, t.code
   from steps s join typed t on s.before = t.file_id and s.old_name = t.name)
+"""
+
+_CHANGES = """
 select file_id, 'renamed' as change, old_name, new_name from moved
 union all select file_id, 'removed', old_name, '' from gone g where not exists (select 1 from moved m where m.file_id = g.file_id and m.old_name = g.old_name)
 union all select file_id, 'added', '', new_name from came g where not exists (select 1 from moved m where m.file_id = g.file_id and m.new_name = g.new_name)
 union all select file_id, 'retyped', old_name, name from typed where old_name is not null and prior > 0 and code <> prior
 """
 
+_VERSIONS = """,
+prints as (select file_id, string_agg(name || ':' || code, '|' order by name) as print from own group by 1),
+ranked as (select file_id, sample_id, row_number() over w as n, print is distinct from lag(print) over w or row_number() over w = 1 as fresh
+  from heads left join prints using (file_id) window w as (partition by sample_id order by written_at, file_id)),
+versioned as (select file_id, sample_id, n, cast(sum(case when fresh then 1 else 0 end) over (partition by sample_id order by n) as bigint) as version from ranked)
+"""
+
+_STEPS = _DRIFT + _VERSIONS + ", change as (" + _CHANGES + """)
+select c.file_id, v.sample_id, v.version, change, c.old_name, c.new_name,
+  case when c.old_name <> '' then (['none', 'integer', 'decimal', 'text'])[1 + coalesce(o.code, 0)] end as old_type,
+  case when c.new_name <> '' then (['none', 'integer', 'decimal', 'text'])[1 + coalesce(n.code, 0)] end as new_type
+from change c join versioned v using (file_id) join vers b on b.file_id = c.file_id
+left join typed n on n.file_id = c.file_id and n.name = c.new_name left join typed o on o.file_id = b.before and o.name = c.old_name
+"""
+
+_FIELDS = _DRIFT + _VERSIONS + """,
+links as (select o.file_id, o.name, b.before, case when list_contains(was, o.name) then o.name else m.old_name end as old_name
+  from own o join vers b using (file_id) left join (select file_id, new_name, min(old_name) as old_name from moved group by 1, 2) m on m.file_id = o.file_id and m.new_name = o.name),
+chain as (select file_id, name, file_id as root_file, name as root_name from links where old_name is null
+  union all select l.file_id, l.name, root_file, root_name from links l join chain c on l.before = c.file_id and l.old_name = c.name),
+called as (select root_file, root_name, lower(name) as low, min(n) as first from chain join versioned using (file_id) group by 1, 2, 3),
+fields as (select unnest(""" + repr([f.lower() for f in MEANS + COUNTS]) + """) as low),
+named as (select root_file, root_name, arg_min(low, struct_pack(first, low)) as known from called join fields using (low) group by 1, 2),
+other as (select c.*, known from called c left join named using (root_file, root_name) where low not in (select low from fields)),
+proofs as (select low, known, count(*) as n from other where known is not null group by 1, 2),
+alias as (select low, arg_max(known, n) as alias, count(*) filter (n = most) as ties from (select *, max(n) over (partition by low) as most from proofs) group by 1),
+by_alias as (select root_file, root_name, arg_min(alias, struct_pack(first, low)) as alias from other join alias using (low) where known is null group by 1, 2),
+sorted as (select c.file_id, c.name, coalesce(known, alias) as field, case when coalesce(known, alias) = lower(c.name) then 0 when known is not null then 1 when alias is not null then 2 end as rk
+  from chain c left join named using (root_file, root_name) left join by_alias using (root_file, root_name)),
+placed as (select *, row_number() over (partition by file_id, field order by rk, name) as place from sorted),
+told as (select file_id, name, case when place = 1 then field end as field,
+  case when field is null then 'unknown' when place > 1 then 'shadowed' else (['name', 'renamed', 'alias'])[1 + rk] end as how from placed)
+"""
+
+_ODD = r"regexp_replace(v, '^[~<>=]+\s*|\s*%$|\s+[A-Za-z]+$', '', 'g')"
+_TABLE = _FIELDS + r""",
+numbered as (select file_id, h, string_split(unnest(body), chr(9)) as c, generate_subscripts(body, 1) as k, body from heads),
+lasts as (select file_id, upper(trim(c[1])) as barcode, arg_max(c, k) as c, any_value(h) as h from numbered where trim(body[k]) <> '' and trim(c[1]) <> '' group by 1, 2),
+given as (select file_id, barcode, field, trim(c[list_position(h, name)]) as raw from lasts join told using (file_id) where field is not null),
+texts as (select file_id, barcode, field, case when lower(raw) not in ('', 'na', 'n/a', 'nan', 'null', '.') then raw end as v from given),
+bared as (select *, """ + _ODD + r""" as b from texts),
+numbers as (select file_id, barcode, field, v, case when regexp_full_match(v, '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?') then try_cast(v as double)
+  when regexp_full_match(b, '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?') then try_cast(b as double)
+  when regexp_full_match(b, '[+-]?\d{1,3}(,\d{3})+(\.\d+)?') then try_cast(replace(b, ',', '') as double)
+  when regexp_full_match(b, '[+-]?\d+,\d+') then try_cast(replace(b, ',', '.') as double)
+  when regexp_full_match(b, '0[xX][0-9A-Fa-f]{1,15}') then cast(try_cast(lower(b) as bigint) as double) end as x from bared)
+select l.file_id, v.sample_id, v.version, l.barcode, """ + ", ".join(
+    (f"cast(round(max(x) filter (field = '{f.lower()}')) as bigint)" if f in COUNTS else f"max(x) filter (field = '{f.lower()}')") + f' as "{f}"' for f in MEANS + COUNTS
+) + """, cast(count(*) filter (n.v is not null and x is null) as int) as n_uncast,
+  cast((select count(*) from told t where t.file_id = l.file_id and t.field is null) as int) as n_unmapped
+from lasts l join versioned v using (file_id) left join numbers n using (file_id, barcode) group by all
+"""
+
 SQL = {
-    "p4_found": _DRIFT,
+    "p4_found": _DRIFT + _CHANGES,
+    "p4_steps": _STEPS,
+    "p4_columns": _FIELDS + "select file_id, name, field, how from told",
+    "p4_table": _TABLE,
     "p1_found": _COUNT_RECORDS + "select distinct file_id from count_files where file_id not in (select file_id from firsts)",
     "p1_compacted": _COUNT_RECORDS + "select sample_id, chunk_id, barcode, reads, file_id from firsts",
     "p1_in_two_runs": _COUNT_RECORDS + "select sample_id, chunk_id, barcode, reads, file_id from firsts",
