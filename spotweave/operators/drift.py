@@ -8,7 +8,8 @@ default and cast. Reading into one table then routes every file by its group and
 renames to the known fields, defaults for absent ones and cast rules; columns that lead to no field are reported.
 
 Only schemas travel between files, one to a version; the values of two files meet only where columns both went and
-came, and then by file and row key. A group with very many files is numbered in chunks like any other.
+came, and then by file and row key. A group with very many files is numbered in chunks like any other. Staged tables
+are joined without hints: Spark knows the size of their files and broadcasts only those under its own limit.
 """
 
 from __future__ import annotations
@@ -19,14 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import text_lines, trimmed
-from ..staging import broadcast_if_small, stage
+from ..staging import stage
 from . import skew
 
 #: Marks of a missing value, in lower case (fixed values).
 MISSING = ["", "na", "n/a", "nan", "null", "."]
 #: Types in the order of their codes; 0 is a column without values.
 TYPES = ["none", "integer", "decimal", "text"]
-BROADCAST_SCHEMAS = 100_000
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -48,7 +48,7 @@ def read_files(files: DataFrame) -> DataFrame:
     that are listed more than once are shuffled.
     """
     whole = files.select("file_id", "grp", "written_at", "received_at", "content")
-    twice = broadcast_if_small(stage(whole.groupBy(F.col("file_id").alias("_id")).count().where("count > 1").select("_id"), "drift-twice"), BROADCAST_SCHEMAS)
+    twice = whole.groupBy(F.col("file_id").alias("_id")).count().where("count > 1").select("_id")
     same = F.col("file_id").eqNullSafe(F.col("_id"))
     last = whole.join(twice, same, "left_semi").groupBy("file_id").agg(F.max(F.struct("received_at", "written_at", "grp", "content")).alias("f"))
     one = whole.join(twice, same, "left_anti").drop("received_at").unionByName(last.select("file_id", "f.grp", "f.written_at", "f.content"))
@@ -105,15 +105,11 @@ def history(parsed: DataFrame, row_key: str = "barcode") -> History:
 
 def _transitions(seen: History) -> DataFrame:
     """``runs`` that follow another, with the names that went (``gone``), came (``came``) and stayed (``stays``), by the registry."""
-    known = broadcast_if_small(seen.registry, BROADCAST_SCHEMAS)
-    now = known.select("fingerprint", F.col("names").alias("new"))
-    then = known.select(F.col("fingerprint").alias("was"), F.col("names").alias("old"))
+    now = seen.registry.select("fingerprint", F.col("names").alias("new"))
+    then = seen.registry.select(F.col("fingerprint").alias("was"), F.col("names").alias("old"))
     kinds = seen.runs.where("before is not null").select("was", "fingerprint").distinct().join(now, "fingerprint").join(then, "was")
-    steps = stage(
-        kinds.select("was", "fingerprint", F.array_except("old", "new").alias("gone"), F.array_except("new", "old").alias("came"), F.array_intersect("new", "old").alias("stays")),
-        "drift-transitions",
-    )
-    return seen.runs.join(broadcast_if_small(steps, BROADCAST_SCHEMAS), ["was", "fingerprint"])
+    sets = (F.array_except("old", "new").alias("gone"), F.array_except("new", "old").alias("came"), F.array_intersect("new", "old").alias("stays"))
+    return seen.runs.join(kinds.select("was", "fingerprint", *sets), ["was", "fingerprint"])
 
 
 def _rows(files: DataFrame, columns: list[str], row_key: str) -> DataFrame:
@@ -136,24 +132,22 @@ def renames(parsed: DataFrame, changed: DataFrame, row_key: str = "barcode") ->
 
     At least one row must be shared. Equal columns that go together may pair with each other in every way.
     """
-    both = stage(changed.where((F.size("gone") > 0) & (F.size("came") > 0)).select("head", "before", "gone", "came"), "drift-compared")
-    small = broadcast_if_small(both, BROADCAST_SCHEMAS)
-    side = lambda file, names: parsed.join(small.select("head", F.col(file).alias("file_id"), F.col(names).alias("wanted")), "file_id")
+    both = changed.where((F.size("gone") > 0) & (F.size("came") > 0)).select("head", "before", "gone", "came")
+    side = lambda file, names: parsed.join(both.select("head", F.col(file).alias("file_id"), F.col(names).alias("wanted")), "file_id")
     now = _rows(side("head", "came"), ["head"], row_key).withColumnRenamed("values", "news")
     then = _rows(side("before", "gone"), ["head"], row_key).withColumnRenamed("values", "olds")
     text = lambda v: F.when(~_missing(v), v)
     met = now.join(then, ["head", "key"]).select("head", F.posexplode("news").alias("i", "n"), "olds").select("head", "i", "n", F.posexplode("olds").alias("j", "o"))
     alike = met.groupBy("head", "i", "j").agg(F.bool_and(text(F.col("n")).eqNullSafe(text(F.col("o")))).alias("same")).where("same")
-    named = alike.join(small.select("head", "gone", "came"), "head")
+    named = alike.join(both.select("head", "gone", "came"), "head")
     return named.select("head", F.get("gone", F.col("j")).alias("old_name"), F.get("came", F.col("i")).alias("new_name"))
 
 
 def _columns(seen: History, changed: DataFrame, moved: DataFrame) -> DataFrame:
     """``head, grp, version, name, code, prev, old_name``: each column of each version and the column of the version before (first file ``prev``) it continues."""
-    known = broadcast_if_small(seen.registry, BROADCAST_SCHEMAS)
     prev = seen.runs.select("grp", (F.col("version") + 1).alias("version"), F.col("head").alias("prev"))
     runs = seen.runs.select("head", "grp", "version", "fingerprint").join(prev, ["grp", "version"], "left")
-    cols = runs.join(known, "fingerprint").select("head", "grp", "version", "prev", F.explode(F.arrays_zip("names", "types")).alias("c"))
+    cols = runs.join(seen.registry, "fingerprint").select("head", "grp", "version", "prev", F.explode(F.arrays_zip("names", "types")).alias("c"))
     stays = changed.select("head", F.explode("stays").alias("name")).select("head", "name", F.col("name").alias("old_name"))
     step = stays.unionByName(moved.groupBy("head", F.col("new_name").alias("name")).agg(F.min("old_name").alias("old_name")))
     own = cols.select("head", "grp", "version", F.col("c.names").alias("name"), F.col("c.types").alias("code"), "prev")
@@ -207,25 +201,38 @@ def compared(parsed: DataFrame, row_key: str = "barcode") -> Drift:
     return Drift(seen, changed, moved, stage(_columns(seen, changed, moved), "drift-columns"))
 
 
-def steps(found: Drift) -> DataFrame:
-    """``file_id, grp, version, change, old_name, new_name, old_type, new_type``: the migration steps into each version of a group.
-
-    ``renamed``, ``removed`` (``new_name`` is ''), ``added`` (``old_name`` is ''; its default is null) and ``retyped`` (a
-    column that stays or is renamed and whose type differs). Types: text if any value is no number, else decimal if any has a
-    point or an exponent, else integer; a column without values keeps the type it had, and one that never had values
-    has ``none`` and is not retyped when they come. The first file of a group, the order of columns and rows sent twice
-    are no change; an empty table has none.
-    """
-    moved, code = found.moved, stage(_typed(found.columns), "drift-types")
-    prev = found.columns.where("prev is not null").select("head", "prev").distinct()
+def _changed(found: Drift, code: DataFrame) -> DataFrame:
+    """``head, change, old_name, new_name``."""
+    moved = found.moved
     gone = found.changed.select("head", F.explode("gone").alias("old_name")).join(moved, ["head", "old_name"], "left_anti").withColumn("new_name", F.lit(""))
     came = found.changed.select("head", F.explode("came").alias("new_name")).join(moved, ["head", "new_name"], "left_anti").withColumn("old_name", F.lit(""))
     now, then = code.select("head", F.col("name").alias("new_name"), F.col("code").alias("new")), code.select(F.col("head").alias("prev"), F.col("name").alias("old_name"), F.col("code").alias("old"))
     kept = found.columns.where("old_name is not null").select("head", "prev", "old_name", F.col("name").alias("new_name"))
     kept = kept.join(now, ["head", "new_name"]).join(then, ["prev", "old_name"]).where("new <> old").select("head", "old_name", "new_name")
     parts = [d.select("head", F.lit(c).alias("change"), "old_name", "new_name") for c, d in (("renamed", moved), ("removed", gone), ("added", came), ("retyped", kept))]
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    rows = rows.join(found.seen.runs.select("head", "grp", "version"), "head").join(prev, "head", "left")
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def changes(parsed: DataFrame, row_key: str = "barcode") -> DataFrame:
+    """``file_id, change, old_name, new_name`` against the file of the group written just before.
+
+    ``renamed``, ``removed`` (``new_name`` is ''), ``added`` (``old_name`` is '') and ``retyped`` (a column that
+    stays or is renamed and whose type differs). Types: text if any value is no number, else decimal if any has a
+    point or an exponent, else integer; a column without values keeps the type it had, and one that never had
+    values has none and is not retyped when they come. The first file of a group, the order of columns and rows
+    sent twice are no change; an empty table has none.
+    """
+    found = compared(parsed, row_key)
+    return _changed(found, _typed(found.columns)).withColumnRenamed("head", "file_id")
+
+
+def steps(found: Drift) -> DataFrame:
+    """``file_id, grp, version, change, old_name, new_name, old_type, new_type``: the migration steps into each version of a
+    group, at its first file: the ``changes`` with the types of both columns; an added column's default is null."""
+    code = stage(_typed(found.columns), "drift-types")
+    prev = found.columns.where("prev is not null").select("head", "prev").distinct()
+    now, then = code.select("head", F.col("name").alias("new_name"), F.col("code").alias("new")), code.select(F.col("head").alias("prev"), F.col("name").alias("old_name"), F.col("code").alias("old"))
+    rows = _changed(found, code).join(found.seen.runs.select("head", "grp", "version"), "head").join(prev, "head", "left")
     rows = rows.join(now, ["head", "new_name"], "left").join(then, ["prev", "old_name"], "left")
     kind = lambda c: F.get(F.array(*map(F.lit, TYPES)), F.coalesce(F.col(c), F.lit(0)))
     return rows.select(
@@ -238,11 +245,6 @@ def _group(key: str) -> Column:
     return F.when(F.col(key) != "", F.substr(key, F.lit(2))).alias("grp")
 
 
-def changes(parsed: DataFrame, row_key: str = "barcode") -> DataFrame:
-    """``file_id, change, old_name, new_name`` of ``steps``."""
-    return steps(compared(parsed, row_key)).select("file_id", "change", "old_name", "new_name")
-
-
 def fields_of(found: Drift, fields: list[str]) -> DataFrame:
     """``head, grp, version, name, field, how``: what each column of each version is.
 
@@ -256,7 +258,7 @@ def fields_of(found: Drift, fields: list[str]) -> DataFrame:
     w = Window.partitionBy("grp", "name").orderBy("version")  # the times that a name came in a group
     events = found.columns.where(first).select("head", "grp", "name", "version", "old_name", (F.lead("version").over(w) - 1).alias("until"))
     events = stage(events.withColumn("until", F.coalesce("until", F.lit((1 << 62)))), "drift-events")
-    spans = broadcast_if_small(events.select("grp", F.col("name").alias("_name"), F.col("version").alias("_since"), "until", F.col("head").alias("_from")), BROADCAST_SCHEMAS)
+    spans = events.select("grp", F.col("name").alias("_name"), F.col("version").alias("_since"), "until", F.col("head").alias("_from"))
 
     def event_of(df: DataFrame, name: str, version: Column) -> DataFrame:
         """``df`` with ``_from``, the first file of the span in which the group's column of that name lies."""
@@ -273,7 +275,7 @@ def fields_of(found: Drift, fields: list[str]) -> DataFrame:
     other = chains.where(~known).join(named, "root", "left")
     proofs = other.where("known is not null").select("root", "low", "known").distinct().groupBy("low", "known").agg(F.count(F.lit(1)).alias("n"))
     alias = proofs.groupBy("low").agg(F.max_by("known", F.struct("n", -F.hash("known"))).alias("alias"))
-    proven = other.where("known is null").join(broadcast_if_small(stage(alias, "drift-aliases"), BROADCAST_SCHEMAS), "low")
+    proven = other.where("known is null").join(alias, "low")
     called = proven.groupBy("root").agg(F.min(F.struct("version", "low", "alias"))["alias"].alias("alias"))
     what = chains.join(named, "root", "left").join(called, "root", "left").select(F.col("head").alias("_from"), F.col("name").alias("_own"), "known", "alias")
     placed = event_of(found.columns.select("head", "grp", "version", "name"), "name", F.col("version")).withColumn("_own", F.col("name"))
@@ -287,7 +289,7 @@ def fields_of(found: Drift, fields: list[str]) -> DataFrame:
 
 def file_columns(found: Drift, fields: list[str]) -> DataFrame:
     """``file_id, name, field, how`` of the columns of all files, as ``fields_of`` says for their versions."""
-    maps = broadcast_if_small(stage(fields_of(found, fields).drop("head"), "drift-fields"), BROADCAST_SCHEMAS)
+    maps = stage(fields_of(found, fields).drop("head"), "drift-fields")
     return found.seen.files.join(maps, ["grp", "version"]).select("file_id", "name", "field", "how")
 
 
@@ -314,11 +316,10 @@ def unified(parsed: DataFrame, fields: list[str], counts: set[str], row_key: str
     maps = fields_of(found, fields).groupBy("grp", "version").agg(
         *(F.max(F.when(F.col("field") == f.lower(), F.col("name"))).alias(f"_{i}") for i, f in enumerate(fields)), F.count_if(F.col("field").isNull()).cast("int").alias("n_unmapped")
     )
-    maps = stage(maps, "drift-maps")
-    routes = found.seen.files.join(broadcast_if_small(maps, BROADCAST_SCHEMAS), ["grp", "version"], "left")
+    routes = found.seen.files.join(stage(maps, "drift-maps"), ["grp", "version"], "left")
     wanted = F.array(*(F.coalesce(f"_{i}", F.lit("")) for i in range(len(fields)))).alias("wanted")
-    routes = stage(routes.select("file_id", "grp", "version", F.coalesce("n_unmapped", F.lit(0)).alias("n_unmapped"), wanted), "drift-routes")
-    files = parsed.select("file_id", F.transform("names", lambda n: F.when(n != "", n)).alias("names"), "rows").join(broadcast_if_small(routes, BROADCAST_SCHEMAS), "file_id")
+    routes = routes.select("file_id", "grp", "version", F.coalesce("n_unmapped", F.lit(0)).alias("n_unmapped"), wanted)
+    files = parsed.select("file_id", F.transform("names", lambda n: F.when(n != "", n)).alias("names"), "rows").join(routes, "file_id")
     cells = _rows(files, ["file_id", "grp", "version", "n_unmapped"], row_key)
     raw = [F.get("values", F.lit(i)) for i in range(len(fields))]
     typed = cells.select("file_id", "grp", "version", "key", "n_unmapped", *(r.alias(f"_r{i}") for i, r in enumerate(raw)), *(as_number(r).alias(f"_n{i}") for i, r in enumerate(raw)))
