@@ -36,7 +36,8 @@ def bin_label(width: int) -> str:
         raise ValueError(f"bin width {width}")
     for size, unit in ((1_000_000, "M"), (1_000, "k")):
         if width >= size:
-            return f"{width / size:g}{unit}"
+            whole, rest = divmod(width, size)
+            return f"{whole}{f'.{rest:0{len(str(size)) - 1}}'.rstrip('0').rstrip('.')}{unit}"
     return f"{width}bp"
 
 

@@ -40,7 +40,7 @@ def leftmost_place(text: Column, pattern: str, distance: int, first: Column | in
     """The first exact place, else the leftmost, not the best, place with at most ``distance`` mismatches.
 
     A place with few mismatches fits the pattern with wildcards at so many of its letters; the alternation of these
-    spellings is one regular expression, which finds its leftmost fit.
+    spellings is one regular expression, which finds its leftmost fit. With too many spellings each window is compared.
     """
     n = len(pattern)
     lo = F.lit(first) if isinstance(first, int) else first
@@ -49,7 +49,9 @@ def leftmost_place(text: Column, pattern: str, distance: int, first: Column | in
     found = F.nullif(F.instr(window, pattern), F.lit(0))
     if distance:
         if math.comb(n, distance) > MAX_SPELLINGS:
-            raise ValueError(f"{distance} mismatches of {n} letters are too many spellings")
+            starts = F.when(end - n >= lo, F.sequence(lo.cast("int"), (end - n).cast("int"))).otherwise(F.array().cast("array<int>"))
+            near = F.filter(starts, lambda i: hamming(F.substr(text, i + 1, F.lit(n)), F.lit(pattern), n) <= distance)
+            return F.coalesce(lo + found - 1, F.get(near, F.lit(0)))
         spellings = ("".join("." if i in k else re.escape(c) for i, c in enumerate(pattern)) for k in map(set, combinations(range(n), distance)))
         found = F.coalesce(found, F.nullif(F.regexp_instr(window, F.lit("(?s)" + "|".join(spellings))), F.lit(0)))
     return lo + found - 1

@@ -34,13 +34,10 @@ def first_sites(sites: DataFrame, n: int) -> DataFrame:
     return sites.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def aligned_bases(alignments: DataFrame, min_mapq: int = 0, min_base_quality: int = 0) -> DataFrame:
-    """One row per aligned base of properly paired reads: ``name, flag, spot, contig, pos, qpos, n, qual, base, before, after``.
+def _blocks(alignments: DataFrame, min_mapq: int) -> DataFrame:
+    """Properly paired reads with ``blocks``, their aligned stretches (``q`` in the read, ``r`` on the contig, ``n`` long).
 
-    ``alignments`` has ``name, flag, mapq, contig, start, cigar, seq, quals, yd, spot``: ``cigar`` is an array of
-    ``(op, len)``, ``quals`` an array of numbers or null. Reads with an unclear conversion strand (``yd`` is u) are
-    left out. Deleted and skipped bases give no row; inserted and clipped ones have no reference place. A row has the
-    read's length and the bases beside its own (empty past an end), not the whole read: many rows are shuffled.
+    Reads with an unclear conversion strand (``yd`` is u) are left out.
     """
     ok = F.col("flag").isin(bases.PAIRED_FLAGS) & (F.coalesce("mapq", F.lit(0)) >= min_mapq) & (F.coalesce("yd", F.lit("")) != "u")
     step = lambda a, c: F.struct(
@@ -48,17 +45,51 @@ def aligned_bases(alignments: DataFrame, min_mapq: int = 0, min_base_quality: in
         (a["r"] + F.when(c["op"].isin("M", "=", "X", "D", "N"), c["len"]).otherwise(0)).alias("r"),
         F.when(c["op"].isin("M", "=", "X"), F.array_append(a["blocks"], F.struct(a["q"].alias("q"), a["r"].alias("r"), c["len"].alias("n")))).otherwise(a["blocks"]).alias("blocks"),
     )
-    zero = F.expr("named_struct('q', 0, 'r', 0, 'blocks', cast(array() as array<struct<q:int,r:int,n:int>>))")
+    begin = F.struct(F.lit(0).alias("q"), F.col("start").cast("int").alias("r"), F.expr("cast(array() as array<struct<q:int,r:int,n:int>>)").alias("blocks"))
     cigar = F.transform("cigar", lambda c: F.struct(c["op"].alias("op"), c["len"].cast("int").alias("len")))
-    reads = alignments.where(ok & F.col("seq").isNotNull()).withColumn("blocks", F.aggregate(cigar, zero, step, lambda a: a["blocks"]))
-    blocks = reads.withColumn("b", F.explode("blocks")).drop("blocks", "cigar")
+    reads = alignments.where(ok & F.col("seq").isNotNull()).withColumn("blocks", F.aggregate(cigar, begin, step, lambda a: a["blocks"]))
+    return reads.select("name", "flag", "spot", "contig", F.upper("seq").alias("seq"), F.length("seq").alias("n"), "quals", "blocks")
+
+
+def _shown(q: Column) -> list[Column]:
+    """The quality and the base at a place of a read, and the bases beside it (empty past an end)."""
+    at = lambda k: F.substr("seq", q + k, F.lit(1))
+    return [q.alias("qpos"), F.get("quals", q).alias("qual"), at(1).alias("base"), F.when(q > 0, at(0)).otherwise("").alias("before"), at(2).alias("after")]
+
+
+def aligned_bases(alignments: DataFrame, min_mapq: int = 0, min_base_quality: int = 0) -> DataFrame:
+    """One row per aligned base of properly paired reads: ``name, flag, spot, contig, pos, qpos, n, qual, base, before, after``.
+
+    ``alignments`` has ``name, flag, mapq, contig, start, cigar, seq, quals, yd, spot``: ``cigar`` is an array of
+    ``(op, len)``, ``quals`` an array of numbers or null. Reads with an unclear conversion strand (``yd`` is u) are
+    left out. Deleted and skipped bases give no row; inserted and clipped ones have no reference place. For bases at
+    given places only, ``bases_at`` moves far fewer rows.
+    """
+    blocks = _blocks(alignments, min_mapq).withColumn("b", F.explode("blocks"))
     rows = blocks.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("b.n") - 1)))
-    placed = rows.withColumn("qpos", F.col("b.q") + F.col("k"))
-    at = lambda k: F.upper(F.substr("seq", F.col("qpos") + k, F.lit(1)))
-    out = placed.select(
-        "name", "flag", "spot", "contig", (F.col("start") + F.col("b.r") + F.col("k")).cast("long").alias("pos"), "qpos", F.length("seq").alias("n"),
-        F.get("quals", F.col("qpos")).alias("qual"), at(1).alias("base"), F.when(F.col("qpos") > 0, at(0)).otherwise("").alias("before"), at(2).alias("after"),
-    )
+    out = rows.select("name", "flag", "spot", "contig", (F.col("b.r") + F.col("k")).cast("long").alias("pos"), "n", *_shown(F.col("b.q") + F.col("k")))
+    return out.where(F.coalesce("qual", F.lit(255)) >= min_base_quality)
+
+
+#: Reference bases to a bucket in which reads and places meet.
+PLACES_BUCKET = 128
+
+
+def bases_at(alignments: DataFrame, places: DataFrame, min_mapq: int = 0, min_base_quality: int = 0, bucket: int = PLACES_BUCKET) -> DataFrame:
+    """The rows of ``aligned_bases`` at ``places`` (``contig, pos`` and other columns, which are kept).
+
+    Reads, not bases, are shuffled: they meet the places of each bucket they touch as one array, and only their bases
+    at places become rows. A place stands in one bucket, so none comes out twice.
+    """
+    extra = [c for c in places.columns if c not in ("contig", "pos")]
+    held = places.groupBy("contig", F.floor(F.col("pos") / bucket).alias("_bucket")).agg(F.collect_list(F.struct(F.col("pos").cast("long").alias("pos"), *extra)).alias("_places"))
+    reads = _blocks(alignments, min_mapq)
+    touched = F.flatten(F.transform("blocks", lambda b: F.sequence(F.floor(b["r"] / bucket), F.floor((b["r"] + b["n"] - 1) / bucket))))
+    met = reads.where(F.size("blocks") > 0).withColumn("_bucket", F.explode(F.array_distinct(touched))).join(held, ["contig", "_bucket"])
+    keep = lambda p, b: F.struct(p.alias("p"), (p["pos"] - b["r"] + b["q"]).cast("int").alias("q"))
+    hits = F.flatten(F.transform("blocks", lambda b: F.transform(F.filter("_places", lambda p: (p["pos"] >= b["r"]) & (p["pos"] < b["r"] + b["n"])), lambda p: keep(p, b))))
+    rows = met.select("name", "flag", "spot", "contig", "seq", "n", "quals", F.inline(hits))
+    out = rows.select("name", "flag", "spot", "contig", F.col("p.pos").alias("pos"), "n", *_shown(F.col("q")), *(F.col(f"p.{c}").alias(c) for c in extra))
     return out.where(F.coalesce("qual", F.lit(255)) >= min_base_quality)
 
 
@@ -74,18 +105,14 @@ def with_depth_up_to(rows: DataFrame, most: int) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= most).drop("_rn")
 
 
-def site_calls(
-    rows: DataFrame, sites: DataFrame, converted: bool = True, r1: tuple[int, int] = (0, 0), r2: tuple[int, int] = (0, 0), mates_once: bool = True
-) -> DataFrame:
+def site_calls(rows: DataFrame, converted: bool = True, r1: tuple[int, int] = (0, 0), r2: tuple[int, int] = (0, 0), mates_once: bool = True) -> DataFrame:
     """``spot, contig, pos, context, strand, methylated``: one row per aligned base that shows a state of a site.
 
-    A CG site takes reads of all four flags and reads two bases there; a CH site takes reads of its strand, and
-    the base beside it in the read must fit its context. Both bases must lie outside the trimmed cycles. With
-    ``mates_once`` overlapping mates count once. The join is by contig and place, so it spreads as the sites do, and
-    comes first: only bases at sites are compared between mates.
+    ``rows`` are the bases at sites (``bases_at``). A CG site takes reads of all four flags and reads two bases there; a
+    CH site takes reads of its strand, and the base beside it in the read must fit its context. Both bases must lie
+    outside the trimmed cycles. With ``mates_once`` overlapping mates count once.
     """
-    joined = rows.join(sites, ["contig", "pos"])
-    joined = without_overlaps(joined) if mates_once else joined
+    joined = without_overlaps(rows) if mates_once else rows
     flag, q, n, base, after = (F.col(c) for c in ("flag", "qpos", "n", "base", "after"))
     is_cg, plus = F.col("context") == "CG", F.col("strand") == "+"
     side = F.when(is_cg | plus, 1).otherwise(-1)
@@ -200,24 +227,34 @@ def predicted(fit: DataFrame, fraction: float) -> DataFrame:
     return fit.withColumn("predicted", F.when(linear, F.col("slope") * fraction).otherwise(curve)).withColumn("most", F.when(~linear, F.col("a")))
 
 
-def mbias(rows: DataFrame, sites: DataFrame, max_cycle: int, right_align: bool = False, min_coverage: int = MIN_CYCLE_COVERAGE) -> DataFrame:
-    """``read, cycle, meth, unmeth, coverage, rate``: conversion at CG sites by read and cycle, over cycles with more than ``min_coverage``."""
-    cg = sites.where("context = 'CG'").select("contig", "pos")
+def cg_places(sites: DataFrame) -> DataFrame:
+    """``contig, pos`` of the CG sites."""
+    return sites.where("context = 'CG'").select("contig", "pos")
+
+
+def strand_places(sites: DataFrame) -> DataFrame:
+    """``contig, pos, top``: both bases of each CG site, the C for reads of top strands and the G for those of bottom ones."""
+    cg = sites.where("context = 'CG'")
+    top = cg.select("contig", "pos", F.lit(True).alias("top"))
+    return top.unionByName(cg.select("contig", (F.col("pos") + 1).alias("pos"), F.lit(False).alias("top")))
+
+
+def mbias(rows: DataFrame, max_cycle: int, right_align: bool = False, min_coverage: int = MIN_CYCLE_COVERAGE) -> DataFrame:
+    """``read, cycle, meth, unmeth, coverage, rate``: conversion by read and cycle, over cycles with more than ``min_coverage``.
+
+    ``rows`` are the bases at ``cg_places``.
+    """
     flag, q, n = F.col("flag"), F.col("qpos"), F.col("n")
     state = bases.cg_methylated(F.concat("base", "after"))
     cyc = bases.cycle(flag, q, n, max_cycle if right_align else None)
-    return _by_cycle(rows.join(cg, ["contig", "pos"]).where(q + 1 < n), cyc, state, max_cycle, min_coverage)
+    return _by_cycle(rows.where(q + 1 < n), cyc, state, max_cycle, min_coverage)
 
 
-def mbias_by_strand(rows: DataFrame, sites: DataFrame, max_cycle: int, min_coverage: int = MIN_CYCLE_COVERAGE) -> DataFrame:
-    """As ``mbias`` where unmethylated bases are converted: single bases, C on top strands and G on bottom ones."""
-    cg = sites.where("context = 'CG'")
-    top = cg.select("contig", "pos", F.lit(True).alias("top"))
-    places = top.unionByName(cg.select("contig", (F.col("pos") + 1).alias("pos"), F.lit(False).alias("top")))
+def mbias_by_strand(rows: DataFrame, max_cycle: int, min_coverage: int = MIN_CYCLE_COVERAGE) -> DataFrame:
+    """As ``mbias`` where unmethylated bases are converted: single bases at ``strand_places``, C on top strands and G on bottom ones."""
     flag = F.col("flag")
     state = bases.top_bottom_methylated(F.col("base"), flag)
-    joined = rows.join(places, ["contig", "pos"]).where(flag.isin(bases.TOP_FLAGS) == F.col("top"))
-    return _by_cycle(joined, bases.cycle(flag, F.col("qpos"), F.col("n")), state, max_cycle, min_coverage)
+    return _by_cycle(rows.where(flag.isin(bases.TOP_FLAGS) == F.col("top")), bases.cycle(flag, F.col("qpos"), F.col("n")), state, max_cycle, min_coverage)
 
 
 def _by_cycle(rows: DataFrame, cyc: Column, state: Column, max_cycle: int, min_coverage: int) -> DataFrame:

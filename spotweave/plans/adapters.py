@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import rejects, reads, sites, spots
@@ -72,22 +72,36 @@ spot_reads as (select sample_id, contig, upper(trim(barcode)) as spot, reads fro
   where length(trim(barcode)) = 20 and upper(trim(barcode))[1:10] in (select barcode from listed) and upper(trim(barcode))[11:20] in (select barcode from listed))"""
 
 
+def _contig() -> Column:
+    """Neighbouring rows are mates, 32 pairs to a contig."""
+    return F.concat(F.lit("c"), F.floor(F.col("row_id") / 64).cast("string")).alias("contig")
+
+
 def placed_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reads as if aligned: each read of a chunk of FASTQ lies on the chunk's reference from its row's place on."""
-    rows = fastq(spark, sf_dir, "chunk_file", "line_no")
-    flags = F.array(*map(F.lit, [99, 147, 83, 163]))
-    cigar = F.array(F.struct(F.lit("M").alias("op"), F.length("seq").alias("len")))
+    """The FASTQ records as aligned reads: neighbouring rows are mates of one pair, which mostly overlap.
+
+    Their place, strand, mapping quality and conversion strand follow from their row, and so do their CIGARs: aligned
+    throughout, clipped, with a deletion or with an insertion. Base qualities are their own.
+    """
+    rows = fastq(spark, sf_dir, "line_no")
+    row, n = F.col("row_id"), F.length("seq")
+    pair = F.floor(row / 2)
+    flags = F.when(pair % 2 == 0, F.when(row % 2 == 0, 99).otherwise(147)).otherwise(F.when(row % 2 == 0, 83).otherwise(163))
+    op = lambda o, k: F.struct(F.lit(o).alias("op"), (F.lit(k) if isinstance(k, int) else k).cast("int").alias("len"))
+    cigars = [F.array(op("M", n)), F.array(op("S", 3), op("M", n - 3)), F.array(op("M", 10), op("D", 2), op("M", n - 10)), F.array(op("M", 10), op("I", 2), op("M", n - 12))]
+    kind = F.when(n >= 20, row % 4).otherwise(0)
+    cigar = F.when(kind == 1, cigars[1]).when(kind == 2, cigars[2]).when(kind == 3, cigars[3]).otherwise(cigars[0])
     return rows.select(
-        F.col("row_id").alias("name"), F.get(flags, F.col("row_id") % 4).cast("int").alias("flag"), F.lit(60).alias("mapq"),
-        F.col("chunk_file").alias("contig"), (F.col("line_no") % 7).cast("int").alias("start"), cigar.alias("cigar"), F.upper("seq").alias("seq"),
-        F.lit(None).cast("array<int>").alias("quals"), F.lit(None).cast("string").alias("yd"), F.substring(F.upper("seq"), 1, 2).alias("spot"),
+        pair.alias("name"), flags.alias("flag"), (row % 17 * 4).cast("int").alias("mapq"), _contig(), (F.col("line_no") % 7).cast("int").alias("start"),
+        cigar.alias("cigar"), F.upper("seq").alias("seq"), F.transform(F.split("qual", ""), lambda c: F.ascii(c) - 33).alias("quals"),
+        F.when(row % 23 == 0, "u").when(row % 3 == 0, "f").alias("yd"), F.substring(F.upper("seq"), 1, 2).alias("spot"),
     )
 
 
 def chunk_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A reference per chunk of FASTQ: its last read by the alphabet, in pieces of 64 bases with a base beside each."""
-    rows = fastq(spark, sf_dir, "chunk_file")
-    ref = rows.groupBy(F.col("chunk_file").alias("contig")).agg(F.max(F.upper("seq")).alias("s"))
+    """A reference per contig of ``placed_reads``: its last read by the alphabet, in pieces of 64 bases with a base beside each."""
+    rows = fastq(spark, sf_dir)
+    ref = rows.groupBy(_contig()).agg(F.max(F.upper("seq")).alias("s"))
     cut = ref.withColumn("k", F.explode(F.sequence(F.lit(0), F.floor((F.length("s") - 1) / 64)))).withColumn("start", F.col("k") * 64)
     beside = F.struct(
         F.when(F.col("start") > 0, F.substr("s", F.col("start"), F.lit(1))).otherwise("").alias("before"),

@@ -298,8 +298,9 @@ def caller_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _REF = _GOOD + """,
-placed as (select row_id as name, chunk_file as contig, line_no % 7 as start, upper(seq) as seq, upper(seq)[1:2] as spot,
-  ([99, 147, 83, 163])[1 + row_id % 4] as flag from good join fastq_rows using (row_id)),
+placed as (select row_id // 2 as name, 'c' || (row_id // 64) as contig, line_no % 7 as start, upper(seq) as seq, qual, upper(seq)[1:2] as spot, row_id % 17 * 4 as mapq, row_id % 23 = 0 as unclear,
+  case when row_id // 2 % 2 = 0 then ([99, 147])[1 + row_id % 2] else ([83, 163])[1 + row_id % 2] end as flag, case when length(seq) >= 20 then row_id % 4 else 0 end as kind
+  from good join fastq_rows using (row_id)),
 refs as (select contig, max(seq) as s from placed group by contig),
 walk as (select contig, i - 1 as pos, s[i] as b, case when i > 1 then s[i - 1] end as p, s[i + 1] as n from (select contig, s, unnest(range(1, length(s) + 1)) as i from refs)),
 refsites as (select contig, cast(pos as bigint) as pos, case when b = 'C' and n = 'G' then 'CG' when b = 'C' and n in ('A', 'C', 'T') then 'C' || n when b = 'G' and p = 'T' then 'CA' when b = 'G' and p = 'G' then 'CC' when b = 'G' and p = 'A' then 'CT' end as context,
@@ -318,11 +319,14 @@ def first_cg_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _BASES = _REF + """,
-bases as (select name, contig, spot, flag, seq, length(seq) as n, q, cast(start + q as bigint) as pos from (select *, unnest(range(length(seq))) as q from placed)),
+walked as (select *, length(seq) as n, ascii(qual[q + 1]) - 33 as ql from (select *, unnest(range(length(seq))) as q from placed where mapq >= 10 and not unclear)),
+bases as (select *, cast(start + q + case kind when 1 then -3 when 2 then case when q >= 10 then 2 else 0 end when 3 then case when q >= 12 then -2 else 0 end else 0 end as bigint) as pos
+  from walked where ql >= 13 and not (kind = 1 and q < 3) and not (kind = 3 and q in (10, 11))),
 hit as (select b.*, context, strand, case when context = 'CG' or strand = '+' then 1 else -1 end as side, seq[q + 1] as b0 from bases b join rs using (contig, pos)),
 near as (select *, seq[q + 1 + side] as b1, case when flag & 16 <> 0 then n - q else q + 1 end as l0, case when flag & 16 <> 0 then q + 1 else n - q end as r0,
-  case when flag & 16 <> 0 then n - q - side else q + side + 1 end as l1, case when flag & 16 <> 0 then q + side + 1 else n - q - side end as r1 from hit where q + side >= 0 and q + side < n),
-kept as (select * from near where not (flag & 64 <> 0 and (l0 <= 2 or r0 <= 1 or l1 <= 2 or r1 <= 1)) and not (flag & 64 = 0 and (l0 <= 1 or l1 <= 1))),
+  case when flag & 16 <> 0 then n - q - side else q + side + 1 end as l1, case when flag & 16 <> 0 then q + side + 1 else n - q - side end as r1,
+  row_number() over (partition by name, contig, pos order by ql desc, flag & 64 = 0) as mate from hit qualify q + side >= 0 and q + side < n),
+kept as (select * from near where mate = 1 and not (flag & 64 <> 0 and (l0 <= 2 or r0 <= 1 or l1 <= 2 or r1 <= 1)) and not (flag & 64 = 0 and (l0 <= 1 or l1 <= 1))),
 called as (select spot, contig, pos, context, strand, case
   when context = 'CG' then case when b0 || b1 in ('TG', 'CA') then true when b0 || b1 = 'CG' then false end
   when strand = '+' and flag in (99, 147) and ((context = 'CC' and b1 in ('C', 'T')) or (context <> 'CC' and b1 = context[2])) then case b0 when 'T' then true when 'C' then false end
@@ -330,16 +334,16 @@ called as (select spot, contig, pos, context, strand, case
   end as m from kept)"""
 
 
-def _placed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = sites.aligned_bases(adapters.placed_reads(spark, sf_dir), 10, 13)
-    return rows, sites.reference_sites(adapters.chunk_reference(spark, sf_dir))
+def _at(spark: SparkSession, sf_dir: str, places=lambda s: s) -> DataFrame:
+    """The bases of the placed reads at the sites of their reference."""
+    ref = sites.reference_sites(adapters.chunk_reference(spark, sf_dir))
+    return sites.bases_at(adapters.placed_reads(spark, sf_dir), places(ref), 10, 13)
 
 
 @query(_BASES + """ select spot, contig, pos, context, strand, count(*) filter (m) as meth, count(*) filter (not m) as unmeth, round_even(count(*) filter (m) / count(*) * 100, 2) as pct
   from called where m is not null group by 1, 2, 3, 4, 5""")
 def call_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, ref = _placed(spark, sf_dir)
-    return sites.coverage(sites.site_calls(rows, ref, True, (2, 1), (1, 0)), "spot")
+    return sites.coverage(sites.site_calls(_at(spark, sf_dir), True, (2, 1), (1, 0)), "spot")
 
 
 _MBIAS = """, cyc as (select case when flag & 64 <> 0 then 'R1' else 'R2' end as read, {cycle} as cycle, {state} as m from {rows})
@@ -351,7 +355,7 @@ _CYCLE = "case when flag & 16 <> 0 then n - q else q + 1 end"
 @query(_BASES + _MBIAS.format(cycle=f"case when flag & 64 <> 0 then 60 - n + q + 1 else {_CYCLE} end", rows="near where context = 'CG'",
        state="case when b0 || b1 in ('TG', 'CA') then true when b0 || b1 = 'CG' then false end"))
 def mbias(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sites.mbias(*_placed(spark, sf_dir), max_cycle=60, right_align=True, min_coverage=5)
+    return sites.mbias(_at(spark, sf_dir, sites.cg_places), max_cycle=60, right_align=True, min_coverage=5)
 
 
 @query(_BASES + """, two as (select b.*, true as top from bases b join rs using (contig, pos) where context = 'CG'
@@ -359,7 +363,7 @@ def mbias(spark: SparkSession, sf_dir: str) -> DataFrame:
   st as (select *, seq[q + 1] as b0 from two where (flag in (99, 147)) = top)""" + _MBIAS.format(cycle=_CYCLE, rows="st",
        state="case when top then case b0 when 'C' then true when 'T' then false end else case b0 when 'G' then true when 'A' then false end end"))
 def mbias_by_strand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sites.mbias_by_strand(*_placed(spark, sf_dir), max_cycle=60, min_coverage=5)
+    return sites.mbias_by_strand(_at(spark, sf_dir, sites.strand_places), max_cycle=60, min_coverage=5)
 
 
 #: The reference's longest cycle: the queries above stop at 60 and leave out the bases of longer reads.
@@ -370,12 +374,12 @@ _MBIAS_ALL = _MBIAS.replace("between 1 and 60", f"between 1 and {MAX_CYCLE}")
 @query(_BASES + _MBIAS_ALL.format(cycle=f"case when flag & 64 <> 0 then {MAX_CYCLE} - n + q + 1 else {_CYCLE} end", rows="near where context = 'CG'",
        state="case when b0 || b1 in ('TG', 'CA') then true when b0 || b1 = 'CG' then false end"))
 def mbias_all_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sites.mbias(*_placed(spark, sf_dir), max_cycle=MAX_CYCLE, right_align=True, min_coverage=5)
+    return sites.mbias(_at(spark, sf_dir, sites.cg_places), max_cycle=MAX_CYCLE, right_align=True, min_coverage=5)
 
 
 @query(SQL["mbias_by_strand"].replace("between 1 and 60", f"between 1 and {MAX_CYCLE}"))
 def mbias_by_strand_all_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sites.mbias_by_strand(*_placed(spark, sf_dir), max_cycle=MAX_CYCLE, min_coverage=5)
+    return sites.mbias_by_strand(_at(spark, sf_dir, sites.strand_places), max_cycle=MAX_CYCLE, min_coverage=5)
 
 
 _SPANS = _REF + ", spans as (select contig, lead(pos, 3) over (partition by contig order by pos) - pos + 1 as span from rs where context = 'CG'), sp as (select * from spans where span is not null)"

@@ -39,6 +39,7 @@ def test_bin_labels(width, label):
     assert numbers.bin_label(width) == label
     with pytest.raises(ValueError):
         numbers.bin_label(0)
+    assert [numbers.bin_label(w) for w in (10_000_001, 1_234_567, 12_345, 20_000_000)] == ["10.000001M", "1.234567M", "12.345k", "20M"]
 
 
 def test_whitelist_expansion(spark, rows):
@@ -119,6 +120,20 @@ def test_aligned_bases(spark, rows):
     assert rows(got, "name", "pos", "qpos") == [("a", 10, 1), ("a", 11, 2), ("a", 12, 4), ("a", 15, 5), ("b", 10, 0), ("n", 10, 0)]
 
 
+@pytest.mark.parametrize("bucket", [1, 3, 128])
+def test_bases_at_places_are_those_of_all_bases(spark, rows, bucket):
+    data = [
+        ("a", 99, 60, "c", 10, [("S", 1), ("M", 2), ("I", 1), ("M", 1), ("D", 2), ("N", 300), ("M", 1)], "xACxGT", [40] * 6, None, "s"),
+        ("b", 83, 60, "c", 11, [("M", 4)], "acgt", None, None, None),
+        ("x", 83, 60, "d", 11, [("S", 4)], "ACGT", None, None, "s"),
+    ]
+    reads = spark.createDataFrame(data, ALIGNED)
+    places = spark.createDataFrame([("c", p, p % 3) for p in range(8, 320)] + [("e", 10, 1)], "contig string, pos bigint, extra int")
+    all_ = sites.aligned_bases(reads)
+    assert rows(sites.bases_at(reads, places, bucket=bucket), *all_.columns) == rows(all_.where("contig = 'c'"))
+    assert rows(sites.bases_at(reads, places.where("extra = 1"), bucket=bucket), "pos", "extra") == rows(all_.where("pos % 3 = 1").selectExpr("pos", "1"))
+
+
 def test_mates_that_overlap_count_once(spark, rows):
     data = [("m", 99, 60, "c", 0, [("M", 2)], "TG", [30, 30], None, "s"), ("m", 147, 60, "c", 0, [("M", 2)], "CG", [35, 20], None, "s")]
     kept = sites.without_overlaps(sites.aligned_bases(spark.createDataFrame(data, ALIGNED)))
@@ -128,10 +143,10 @@ def test_mates_that_overlap_count_once(spark, rows):
 def test_site_calls_and_trimming(spark, rows):
     ref = sites.reference_sites(chunk(spark, "ACGCATGCT", 50))
     data = [("r", 99, 60, "c", 0, [("M", 9)], "ATGTATGCT", None, None, "s"), ("q", 83, 60, "c", 0, [("M", 9)], "ACGCATACT", None, None, "s")]
-    rows_ = sites.aligned_bases(spark.createDataFrame(data, ALIGNED))
-    got = rows(sites.coverage(sites.site_calls(rows_, ref), "spot"), "pos", "context", "meth", "unmeth")
+    rows_ = sites.bases_at(spark.createDataFrame(data, ALIGNED), ref)
+    got = rows(sites.coverage(sites.site_calls(rows_), "spot"), "pos", "context", "meth", "unmeth")
     assert got == [(1, "CG", 1, 1), (3, "CA", 1, 0), (6, "CA", 1, 0), (7, "CT", 0, 1)]
-    cut = sites.site_calls(rows_, ref, True, (2, 0), (0, 0))
+    cut = sites.site_calls(rows_, True, (2, 0), (0, 0))
     assert rows(sites.coverage(cut, "spot"), "pos", "meth", "unmeth") == [(1, 0, 1), (3, 1, 0), (6, 1, 0), (7, 0, 1)]
 
 
