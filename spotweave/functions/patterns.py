@@ -71,9 +71,15 @@ def unique_place(text: Column, pattern: str, distance: int, first: Column | int
         F.array(*map(F.lit, fixed)), F.lit(0),
         lambda d, k: d + F.when(F.substr(text, i + k, F.lit(1)) != F.substr(F.lit(pattern), k, F.lit(1)), 1).otherwise(0),
     )
-    scored = F.filter(F.transform(starts, lambda i: F.struct(wrong(i).alias("d"), i.alias("i"))), lambda s: s["d"] <= distance)
-    best = F.filter(scored, lambda s: s["d"] == F.array_min(scored)["d"])
-    return F.when(F.size(best) == 1, best[0]["i"])
+    scored = F.transform(starts, lambda i: F.struct(wrong(i).alias("d"), i.alias("i")))
+    nothing = F.struct(F.lit(distance + 1).alias("d"), F.lit(0).alias("n"), F.lit(-1).alias("i"))
+    better = lambda b, s: F.struct(
+        F.least(b["d"], s["d"]).alias("d"),
+        F.when(s["d"] < b["d"], 1).otherwise(b["n"] + F.when(s["d"] == b["d"], 1).otherwise(0)).alias("n"),
+        F.when(s["d"] < b["d"], s["i"]).otherwise(b["i"]).alias("i"),
+    )
+    best = F.aggregate(scored, nothing, better)
+    return F.aggregate(F.array(best), F.lit(-1), lambda _, b: F.when((b["d"] <= distance) & (b["n"] == 1), b["i"]).otherwise(-1), lambda i: F.when(i >= 0, i))
 
 
 def motif_pattern(sequence: str) -> str:

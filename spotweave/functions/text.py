@@ -29,3 +29,8 @@ def parse_list(text: str) -> list[str]:
     if not items:
         raise ValueError("the list is empty")
     return items
+
+
+def name_spot(name: Column | str) -> Column:
+    """The spot at the front of a read's name, ``@<spot>:`` or ``<spot>:``, null for a name without one."""
+    return F.nullif(F.regexp_extract(F.col(name) if isinstance(name, str) else name, "^@?([ACGTN]+):", 1), F.lit(""))

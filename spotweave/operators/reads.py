@@ -11,7 +11,8 @@ from ..functions import patterns
 from ..functions.text import spot_key
 from ..staging import broadcast_if_small, stage
 
-LETTERS = "ACGTN"
+#: Letters of reads; any other is compared as a question mark.
+LETTERS = "ACGTN?"
 #: A linker is looked for this far behind where it should begin, an anchor's seed within this span.
 LINKER_SLACK, ANCHOR_SPAN, SEED = 62, 40, 15
 BROADCAST_VARIANTS = 500_000
@@ -51,7 +52,8 @@ def neighbourhood(listed: DataFrame, distance: int) -> DataFrame:
 
 
 def _looked_up(df: DataFrame, near: DataFrame, raw: str, name: str) -> DataFrame:
-    return df.join(near.select(F.col("seen").alias(raw), F.col("barcode").alias(name)), raw, "left")
+    seen = df.withColumn("_seen", F.regexp_replace(raw, f"[^{LETTERS[:-1]}]", LETTERS[-1]))
+    return seen.join(near.select(F.col("seen").alias("_seen"), F.col("barcode").alias(name)), "_seen", "left").drop("_seen")
 
 
 def with_linker_place(df: DataFrame, text: str, layout: Layout) -> DataFrame:
@@ -155,13 +157,22 @@ def demultiplex_umi(reads: DataFrame, listed: DataFrame, linker: str, umi_left:
     )
 
 
-def cell_index(cells: DataFrame, listed: DataFrame, half: int = 8) -> DataFrame:
-    """``cells`` with ``index_b, index_a``, the places of both halves of ``cell`` in the list; an unlisted half is null."""
+def cell_index(cells: DataFrame, listed: DataFrame, half: int = 8, strict: bool = False) -> DataFrame:
+    """``cells`` with ``index_b, index_a``, the places of both halves of ``cell`` in the list.
+
+    An unlisted half, or a cell of another length, gives nulls, or with ``strict`` an error when the row is read.
+    """
     places = broadcast_if_small(listed.select("barcode", "idx"), BROADCAST_VARIANTS)
-    rows = cells.withColumn("_b", F.substring("cell", 1, half)).withColumn("_a", F.substring("cell", half + 1, half))
+    cells = cells.withColumn("_ok", F.length("cell") == 2 * half)
+    part = lambda at: F.when(F.col("_ok"), F.substring("cell", at, half))
+    rows = cells.withColumn("_b", part(1)).withColumn("_a", part(half + 1))
     for raw, name in (("_b", "index_b"), ("_a", "index_a")):
         rows = rows.join(places.select(F.col("barcode").alias(raw), F.col("idx").alias(name)), raw, "left").drop(raw)
-    return rows
+    if strict:
+        known = F.col("index_b").isNotNull() & F.col("index_a").isNotNull()
+        error = F.raise_error(F.concat(F.lit("no listed cell: "), F.coalesce("cell", F.lit("null")))).cast("int")
+        rows = rows.withColumn("index_b", F.when(known, F.col("index_b")).otherwise(error))
+    return rows.drop("_ok")
 
 
 def site_conversion(reads: DataFrame, sequence: str, sites: list[int], *by: str) -> DataFrame:
@@ -212,6 +223,18 @@ def linker_conversion(reads: DataFrame, masked: str, first: int, last: int, dist
     )
 
 
+def linker_sites(reads: DataFrame, masked: str, first: int, last: int, distance: int, *by: str) -> DataFrame:
+    """Per ``by`` and C of the anchor (``site``, its place): how many of the reads with the anchor found show ``n_t``, ``n_c`` and ``n_other`` there."""
+    text = F.upper("seq")
+    place = patterns.unique_place(text, masked.replace("C", "N"), distance, first, F.lit(last))
+    at = F.array(*(F.lit(i) for i, c in enumerate(masked) if c == "C"))
+    rows = reads.select(*by, text.alias("_u"), place.alias("_p")).where("_p is not null").select(*by, "_u", "_p", F.explode(at).alias("site"))
+    base = F.substr("_u", F.col("_p") + F.col("site") + 1, F.lit(1))
+    return rows.select(*by, "site", base.alias("_b")).groupBy(*by, "site").agg(
+        F.count_if(F.col("_b") == "T").alias("n_t"), F.count_if(F.col("_b") == "C").alias("n_c"), F.count_if(~F.col("_b").isin("T", "C")).alias("n_other")
+    )
+
+
 def merged_linker_conversion(parts: DataFrame, *by: str) -> DataFrame:
     """The conversion of several runs' linkers, their rates weighted by the reads scored."""
     n = F.col("scored_reads")

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bases
 from ..functions.numbers import percent
+from ..staging import stage
+from . import skew
+from . import spots as spot_ops
 
 #: Fractions of the reads at which saturation is estimated (fixed values).
 FRACTIONS = [0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
@@ -182,6 +187,21 @@ def saturation_points(expected: DataFrame) -> DataFrame:
     return rows.select("fraction", F.col("q")[1].alias("median"), F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(0.0)).alias("below"), F.greatest(F.col("q")[2] - F.col("q")[1], F.lit(0.0)).alias("above"))
 
 
+def hq_saturation(counts: DataFrame, cov: DataFrame) -> DataFrame:
+    """``saturation_points`` over the CG sites of spots above the knee, with ``n_hq``, how many these are, and the ``threshold``.
+
+    ``counts`` has ``spot, reads``. Spots above the threshold without covered sites count in ``n_hq``, not in the points.
+    Without a knee there are no rows.
+    """
+    grouped = counts.select(F.lit("all").alias("grp"), "spot", "reads")
+    threshold = spot_ops.knee(grouped, "grp").select("threshold")
+    high = grouped.join(F.broadcast(threshold)).where("reads > threshold").select("spot", "threshold")  # one row
+    covered = cov.where("context = 'CG'").join(high.select("spot"), "spot", "left_semi")
+    points = saturation_points(expected_sites(depth_histogram(covered, "spot"), FRACTIONS, "spot"))
+    facts = high.agg(F.count(F.lit(1)).alias("n_hq"), F.first("threshold").alias("threshold")).where("n_hq > 0")
+    return points.join(F.broadcast(facts))  # one row
+
+
 def saturation_fit(points: DataFrame) -> DataFrame:
     """``slope, r2, a, b, model``: a line through the origin and y = a (1 - exp(-b f)) fitted to ``fraction, median``.
 
@@ -264,9 +284,13 @@ def _by_cycle(rows: DataFrame, cyc: Column, state: Column, max_cycle: int, min_c
 
 
 def cpg_spans(sites: DataFrame, n: int = 10) -> DataFrame:
-    """``contig, span``: the length of each window over ``n`` neighbouring sites; contigs with fewer have none."""
-    w = Window.partitionBy("contig").orderBy("pos")
-    return sites.select("contig", (F.lead("pos", n - 1).over(w) - F.col("pos") + 1).alias("span")).where("span is not null")
+    """``contig, span``: the length of each window over ``n`` neighbouring sites; contigs with fewer have none.
+
+    Sites are numbered along each contig in sorted ranges, and each meets the one ``n`` - 1 further on: no task holds a contig.
+    """
+    placed = skew.numbered_in_order(sites, F.col("contig"), {"pos": F.col("pos")}, {}).rows
+    ends = placed.select("_key", (F.col("_n") - (n - 1)).alias("_n"), F.col("pos").alias("end"))
+    return placed.join(ends, ["_key", "_n"]).select(F.col("_key").alias("contig"), (F.col("end") - F.col("pos") + 1).alias("span"))
 
 
 def without_outliers(values: DataFrame, grp: str, value: str) -> DataFrame:
@@ -348,14 +372,36 @@ def smoothed(sites: DataFrame, bandwidth: int, weighted: bool = False) -> DataFr
     return cut.withColumn("smooth", mean).where(F.floor(F.col("pos") / stretch) == F.col("k")).select("contig", "pos", "smooth")
 
 
+def exact_quantile(df: DataFrame, value: str, share: float) -> float | None:
+    """The exact quantile of a double column, between neighbours in proportion, null for no values.
+
+    A sketch of the values' ranks brackets it, the values below the bracket are counted, and only those within are
+    sorted, so no task holds all values. ``df`` should be a staged table, since it's read three times.
+    """
+    v = F.col(value)
+    n, low, high = df.agg(F.count(v), *(F.percentile_approx(v, min(max(share + d, 0.0), 1.0), 1000) for d in (-0.003, 0.003))).first()
+    if not n:
+        return None
+    at = share * (n - 1)
+    first, last = math.floor(at), math.ceil(at)
+    while True:
+        below, inside = df.agg(F.count_if(v < low), F.count_if(v.between(low, high))).first()
+        if below <= first and last < below + inside:
+            break
+        low, high = df.agg(F.min(v), F.max(v)).first()  # the sketch's bracket missed: all values are sorted, in ranges
+    ranks = skew.numbered_in_order(df.where(v.between(low, high)), F.lit(0), {"v": v}, {}).rows
+    found = {r["_n"]: r["v"] for r in ranks.where(F.col("_n").isin(first - below, last - below)).collect()}
+    a, b = found[first - below], found[last - below]
+    return a + (b - a) * (at - first)
+
+
 def variable_regions(cov: DataFrame, width: int, step: int, share: float) -> DataFrame:
     """``contig, start, end, variance``: windows in the top ``share`` of variance between spots, touching ones merged."""
     places = F.sequence(F.greatest(F.floor((F.col("pos") - width) / step) + 1, F.lit(0)), F.floor(F.col("pos") / step))
     rows = cov.select("spot", "contig", F.explode(places).alias("k"), "meth", "unmeth")
     spots = rows.groupBy("spot", "contig", "k").agg((F.sum("meth") / F.sum(F.col("meth") + F.col("unmeth"))).alias("frac"))
-    windows = spots.groupBy("contig", "k").agg(F.var_samp("frac").alias("variance")).where("variance is not null")
-    cut = windows.agg(F.percentile("variance", 1 - share).alias("cut")).scalar()
-    kept = windows.where(F.col("variance") >= cut).select("contig", (F.col("k") * step).alias("start"), (F.col("k") * step + width).alias("end"), "variance")
+    windows = stage(spots.groupBy("contig", "k").agg(F.var_samp("frac").alias("variance")).where("variance is not null"), "windows")
+    kept = windows.where(F.col("variance") >= exact_quantile(windows, "variance", 1 - share)).select("contig", (F.col("k") * step).alias("start"), (F.col("k") * step + width).alias("end"), "variance")
     w = Window.partitionBy("contig").orderBy("start")
     open_ = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("start") <= F.col("reach"), 0).otherwise(1)).over(w)

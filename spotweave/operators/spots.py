@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.bases import PAIRED_FLAGS, confident
+from ..functions.numbers import formatted
 from ..functions.text import spot_key
 
 #: Defaults of the knee search (fixed values).
@@ -216,3 +217,34 @@ def resumed_stats(new: DataFrame, prior: DataFrame, *by: str) -> DataFrame:
 def capped_fraction(requested: float, mapped: int, most: int = 10_000_000) -> float:
     """The fraction to keep so that no more than ``most`` of ``mapped`` reads stay."""
     return min(requested, most / mapped) if mapped else requested
+
+
+def roster_stats(roster: DataFrame, stats: DataFrame) -> DataFrame:
+    """The statistics of each spot of ``roster`` (``spot, ord``), in its order; a spot without any has nulls.
+
+    A spot that is listed several times counts where it's listed first; spots off the roster are left out.
+    """
+    first = roster.where("spot is not null").groupBy("spot").agg(F.min("ord").alias("ord"))
+    return first.join(stats, "spot", "left").orderBy("ord")
+
+
+def weighted_means(stats: DataFrame, pairs: dict[str, str], *by: str) -> DataFrame:
+    """Per ``by`` the means of spots (``pairs``' keys), as written to two places, weighted by their sites (its values), and
+    ``median_<sites>`` over the spots; spots without a mean or sites don't count, and with none left there is a null."""
+    aggs = []
+    for mean, sites in pairs.items():
+        counts = F.col(mean).isNotNull() & (F.col(sites) > 0)
+        weighted = F.sum(F.when(counts, F.bround(F.col(mean), 2) * F.col(sites)))
+        aggs += [(weighted / F.sum(F.when(counts, F.col(sites)))).alias(mean), F.percentile(F.when(counts, F.col(sites)), 0.5).alias(f"median_{sites}")]
+    return stats.groupBy(*by).agg(*aggs)
+
+
+def sample_report(totals: DataFrame, means: DataFrame, key: str, counts: list[str], rates: dict[str, tuple[str, str]], shown: list[str]) -> DataFrame:
+    """One row of text per sample that has ``totals`` or ``means``: ``key``, ``counts`` with commas, ``rates`` (name: part, whole) as
+    ``12.34%``, and the values ``shown`` to two places; what isn't known, and a rate of nothing, is ``NA``."""
+    rows = totals.join(means, key, "full")
+    rate = lambda part, whole: F.when(F.col(whole) > 0, F.col(part) / F.col(whole) * 100)
+    text = lambda c: F.when(c.isNull(), "NA").otherwise(F.concat(formatted(".2f")(c), F.lit("%")))
+    return rows.select(
+        key, *(formatted(",")(F.col(c)).alias(c) for c in counts), *(text(rate(*r)).alias(n) for n, r in rates.items()), *(formatted(".2f")(F.col(c)).alias(c) for c in shown)
+    )

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import as_float, as_int, first_json
+from ..functions.text import name_spot
 from ..operators import drift, reads, sites, spots
 from . import adapters
 from .adapters import ALIGNMENTS_SQL, COV_SQL, SPOT_READS_SQL
-from .problems import _FASTQ, table
+from .problems import _FASTQ, COUNTS, MEANS, STATS_SQL, p4_table, table
 
 MITO = ["chr7"]
 BIN = 100
@@ -228,6 +229,59 @@ def sample_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return total.join(wide.select("sample_id", *cols), "sample_id", "left")
 
 
+@query("with " + COV_SQL + ", s as (select spot, contig, " + _STATS + " from covp group by 1, 2), "
+       "a as (select spot, contig, n_cg, n_ch from s where contig <= 'chr4'), b as (select spot, contig, n_cg, n_ch from s where contig >= 'chr3' and (spot, contig) not in (select (spot, contig) from a)) select * from a union all select * from b")
+def resumed_stats_of_all_contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over contigs that overlap and together are all."""
+    per = spots.meth_stats(adapters.coverage_percent(spark, sf_dir), "spot", "contig").select("spot", "contig", "n_cg", "n_ch")
+    return spots.resumed_stats(per.where("contig <= 'chr4'"), per.where("contig >= 'chr3'"), "contig")
+
+
+@query("with " + COV_SQL + ", s as (select spot, " + _STATS + " from covp group by spot) "
+       "select c.spot, cast(1 + c.c_nationkey * 100000 + c.spot as bigint) as ord, " + _SUMS + " from (select c_custkey as spot, c_nationkey from customer) c left join s on s.spot = c.spot")
+def roster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as a roster, by nation: most have no rows."""
+    roster = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("spot"), (1 + F.col("c_nationkey").cast("long") * 100000 + F.col("c_custkey")).alias("ord"))
+    return _exact_sums(spots.roster_stats(roster, spots.meth_stats(adapters.coverage_percent(spark, sf_dir), "spot")), "spot", "ord")
+
+
+@query("with " + SPOT_READS_SQL + """ select coalesce(r.sample_id, '') as sample_id, contig, cast(coalesce(sum(reads), 0) as bigint) as reads, count(distinct spot) as n_spots from spot_reads r group by 1, 2""")
+def sample_contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long form of a sample's summary: every contig has its row."""
+    rows = adapters.spot_reads(spark, sf_dir).groupBy(F.coalesce("sample_id", F.lit("")).alias("sample_id"), "contig")
+    return rows.agg(F.coalesce(F.sum("reads"), F.lit(0)).alias("reads"), F.countDistinct("spot").alias("n_spots"))
+
+
+_PAIRS = dict(zip(MEANS, COUNTS))
+_REPORT = STATS_SQL + ", " + SPOT_READS_SQL + """,
+newest as (select sample_id, arg_max(file_id, n) as file_id from versioned where sample_id is not null group by 1),
+means as (select t.sample_id, """ + ", ".join(f'sum(round_even("{m}", 2) * "{c}") filter ("{m}" is not null and "{c}" > 0) / sum("{c}") filter ("{m}" is not null and "{c}" > 0) as "{m}"' for m, c in _PAIRS.items()) + """,
+  quantile_cont(cpg_site_count, 0.5) filter ("mean_5mCG" is not null and cpg_site_count > 0) as median_cpg_site_count from tbl t join newest using (file_id) group by 1),
+raw as (select sample_id, cast(coalesce(sum(reads), 0) as bigint) as raw_reads from spot_counts where sample_id is not null group by 1),
+valid as (select sample_id, cast(coalesce(sum(reads), 0) as bigint) as barcoded_reads, cast(coalesce(sum(reads) filter (contig = 'chrM'), 0) as bigint) as mito_reads from spot_reads where sample_id is not null group by 1),
+totals as (select sample_id, raw_reads, barcoded_reads, mito_reads, barcoded_reads - mito_reads as nuclear_reads from raw left join valid using (sample_id))
+select coalesce(t.sample_id, m.sample_id) as sample_id, """ + ", ".join(f"coalesce(format('{{:,}}', {c}), 'NA') as {c}" for c in ("raw_reads", "barcoded_reads", "mito_reads", "nuclear_reads")) + """,
+  coalesce(case when raw_reads > 0 then printf('%.2f', barcoded_reads / raw_reads * 100) || '%' end, 'NA') as barcoded_reads_rate,
+  coalesce(case when barcoded_reads > 0 then printf('%.2f', mito_reads / barcoded_reads * 100) || '%' end, 'NA') as mito_reads_rate, """ + ", ".join(
+    f"""coalesce(printf('%.2f', "{c}"), 'NA') as "{c}\"""" for c in [*MEANS, "median_cpg_site_count"]
+) + """ from totals t full join means m on t.sample_id = m.sample_id"""
+
+
+@query(_REPORT)
+def sample_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per sample: reads, rates, and the means of the spots of its newest statistics file, as text with ``NA``."""
+    files = table(spark, sf_dir, "meth_stats_files").where("sample_id is not null")
+    newest = files.groupBy("sample_id").agg(F.max(F.struct("written_at", "file_id"))["file_id"].alias("file_id"))
+    stats = p4_table(spark, sf_dir).join(newest.select("file_id"), "file_id", "left_semi")
+    means = spots.weighted_means(stats, _PAIRS, "sample_id")
+    raw = table(spark, sf_dir, "spot_counts").where("sample_id is not null").groupBy("sample_id").agg(F.coalesce(F.sum("reads"), F.lit(0)).alias("raw_reads"))
+    mito = F.sum(F.when(F.col("contig") == "chrM", F.col("reads")))
+    valid = adapters.spot_reads(spark, sf_dir).groupBy("sample_id").agg(F.coalesce(F.sum("reads"), F.lit(0)).alias("barcoded_reads"), F.coalesce(mito, F.lit(0)).alias("mito_reads"))
+    totals = raw.join(valid, "sample_id", "left").withColumn("nuclear_reads", F.col("barcoded_reads") - F.col("mito_reads"))
+    rates = {"barcoded_reads_rate": ("barcoded_reads", "raw_reads"), "mito_reads_rate": ("mito_reads", "barcoded_reads")}
+    return spots.sample_report(totals, means, "sample_id", ["raw_reads", "barcoded_reads", "mito_reads", "nuclear_reads"], rates, [*MEANS, "median_cpg_site_count"])
+
+
 # --- sites -------------------------------------------------------------------------------------------------
 
 
@@ -275,9 +329,40 @@ def saturation_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_saturation(spark, sf_dir), "median", "below", "above")
 
 
-@query()
+_POINTS = """
+  e as (select spot, f as fraction, sum(n * (1 - power(1 - f, d))) as x from h cross join (select unnest([0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]::double[]) as f) group by 1, 2),
+  q as (select fraction, quantile_cont(x, [0.25, 0.5, 0.75]) as q from e group by 1)"""
+
+
+def _grid(name: str, before: str, exponent: str, count: int) -> str:
+    """The best of ``before`` and a grid of rates, the first of equally good ones."""
+    return f"""
+  {name}b as (select k, power(10.0, {exponent}) as b from (select unnest(range({count})) as k) cross join {before}),
+  {name}a as (select k, b, greatest(sum(y * (1 - exp(-b * f))) / sum((1 - exp(-b * f)) * (1 - exp(-b * f))), 0) as a from {name}b cross join pts group by 1, 2),
+  {name}e as (select k, b, a, sum((y - a * (1 - exp(-b * f))) * (y - a * (1 - exp(-b * f)))) as err from {name}a cross join pts group by 1, 2, 3),
+  {name}n as (select arg_min(struct_pack(a, b, err), struct_pack(err, k)) as s from {name}e),
+  {name} as (select case when s.err < err then s.a else a end as a, case when s.err < err then s.b else b end as b, least(s.err, err) as err from {name}n cross join {before})"""
+
+
+@query("with " + COV_SQL + ", h as (select spot, meth + unmeth as d, count(*) as n from cov where context = 'CG' and meth + unmeth > 0 group by 1, 2)," + _POINTS + """,
+  pts as (select fraction as f, q[2] as y from q), line as (select sum(f * y) / sum(f * f) as slope, avg(y) as m from pts),
+  fit as (select slope, case when sum((y - m) * (y - m)) <= 0 then 0 else 1 - sum((y - slope * f) * (y - slope * f)) / sum((y - m) * (y - m)) end as r2 from pts cross join line group by slope),
+  g as (select 0.0 as a, 1.0 as b, 'infinity'::double as err),""" + _grid("g0", "g", "-4 + k * 6.0 / 799", 800) + "," + ",".join(_grid(f"g{i}", f"g{i - 1}", "log10(b) - 0.7 + k * 1.4 / 239", 240) for i in (1, 2, 3)) + """
+  select cast(round(slope * 1e6) as bigint) as slope, cast(round(r2 * 1e6) as bigint) as r2, cast(round(a) as bigint) as a, cast(round(b * 1e3) as bigint) as b, case when r2 >= 0.99 then 'linear' else 'saturation' end as model,
+  cast(round(case when r2 >= 0.99 then slope * 2 else a * (1 - exp(-b * 2)) end) as bigint) as predicted, cast(round(case when r2 < 0.99 then a end) as bigint) as most from fit cross join g3""")
 def saturation_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sites.predicted(sites.saturation_fit(_saturation(spark, sf_dir)), 2.0)
+    found = _rounded(sites.predicted(sites.saturation_fit(_saturation(spark, sf_dir)), 2.0), "slope", "r2")
+    whole = {c: F.round(c).cast("long") for c in ("a", "predicted", "most")}
+    return found.withColumns({**whole, "b": F.round(F.col("b") * 1e3).cast("long")})
+
+
+@query("with " + COV_SQL + ", counts as (select 'all' as sample_id, l_suppkey as spot, count(*) as reads from lineitem group by 2)" + _KNEE[len(_COUNTS):] + """,
+  hq as (select spot from counts, knees where reads > threshold), facts as (select count(*) as n_hq, (select threshold from knees) as threshold from hq),
+  h as (select spot, meth + unmeth as d, count(*) as n from cov where context = 'CG' and meth + unmeth > 0 and spot in (select spot from hq) group by 1, 2),""" + _POINTS + """
+  select fraction, cast(round(q[2] * 1e6) as bigint) as median, cast(round((q[2] - q[1]) * 1e6) as bigint) as below, cast(round((q[3] - q[2]) * 1e6) as bigint) as above, n_hq, threshold from q cross join facts""")
+def hq_saturation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spots.read_counts(adapters.alignments(spark, sf_dir).withColumn("reads", F.lit(1)), "contig").groupBy("spot").agg(F.sum("n_records").alias("reads"))
+    return _rounded(sites.hq_saturation(counts, adapters.coverage(spark, sf_dir)), "median", "below", "above")
 
 
 _DELTA = "case when ma + ua > 0 and mb + ub > 0 then abs(ma / (ma + ua) - mb / (mb + ub)) * 100 end"
@@ -539,15 +624,78 @@ def motif_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.site_conversion(_upper(spark, sf_dir), MOTIF, [2])
 
 
-@query()
+#: Where a linker may end: its last begin, and its length.
+_LINKER_END = reads.ANCHOR_SPAN + 28
+_LINKER = _GOOD + f""",
+lk as (select upper(seq)[11:28] as l, count(*) as n from good where length(upper(seq)[11:28]) = 18 group by 1 order by n desc, l limit 1),
+win as (select row_id, upper(seq) as s, unnest(range(10, least(length(seq), {_LINKER_END}) - 17)) as p from good where length(seq) >= 28),
+off as (select row_id, s, p, l, len(list_filter(range(1, 19), lambda k: l[k] <> 'C' and s[p + k] <> l[k])) as d from win cross join lk),
+best as (select *, min(d) over (partition by row_id) as m from off),
+spot as (select row_id, any_value(s) as s, any_value(l) as l, min(p) as p from best where d = m and m <= 1 group by row_id having count(*) = 1)"""
+
+
+@query(_LINKER + """, shown as (select s[p + 4] || s[p + 7] || s[p + 11] as three, l[4] || l[7] || l[11] as ref from spot),
+  used as (select list_filter([1, 2, 3], lambda i: ref[i] = 'C') as picks, three from shown),
+  n as (select len(list_filter(picks, lambda i: three[i] = 'T')) as t, len(list_filter(picks, lambda i: three[i] = 'C')) as c, len(picks) as k from used)
+  select count(*) as scored_reads, cast(round(avg(case when t + c > 0 then t / (t + c) end) * 1e6) as bigint) as mean_rate_fraction, cast(round(count(*) filter (t = k) / count(*) * 1e6) as bigint) as all_t_fraction from n""")
 def linker_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = adapters.fastq(spark, sf_dir)
-    return reads.linker_conversion(rows, adapters.linker(spark, sf_dir), 10, 40, 1)
+    return _rounded(reads.linker_conversion(rows, adapters.linker(spark, sf_dir), 10, _LINKER_END, 1), "mean_rate_fraction", "all_t_fraction")
 
 
-@query()
+@query(_LINKER + """, cs as (select s, p, l, unnest(list_filter(range(0, 18), lambda k: l[k + 1] = 'C')) as site from spot)
+  select cast(site as int) as site, count(*) filter (s[p + site + 1] = 'T') as n_t, count(*) filter (s[p + site + 1] = 'C') as n_c, count(*) filter (s[p + site + 1] not in ('T', 'C')) as n_other from cs group by 1""")
+def linker_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts behind the linkers' conversion, for each of their Cs."""
+    return reads.linker_sites(adapters.fastq(spark, sf_dir), adapters.linker(spark, sf_dir), 10, _LINKER_END, 1)
+
+
+_UMI = _GOOD + """,
+wl as (select distinct upper(trim(barcode)) as bc from barcode_whitelist where trim(barcode) <> ''),
+lk as (select upper(seq)[11:28] as l, count(*) as n from good where length(upper(seq)[11:28]) = 18 group by 1 order by n desc, l limit 1),
+u as (select row_id, seq as s, qual, l from good cross join lk),
+win as (select row_id, unnest(range(0, length(s) - 17)) as i from u where length(s) >= 18),
+di as (select row_id, i, hamming(s[i + 1:i + 18], l) as d from win join u using (row_id)),
+found as (select row_id, coalesce(min(i) filter (d = 0), min(i) filter (d <= 1)) as i from di group by 1),
+cut as (select u.*, i, case when i >= 10 then s[i - 9:i] end as b, s[i + 19:i + 28] as a from u left join found using (row_id)),
+near as (select obs, bc, hamming(obs, bc) as d from (select a as obs from cut union select b from cut) o cross join wl where length(obs) = 10),
+res as (select obs, case when min(d) <= 1 and count(*) filter (d = m) = 1 then min(bc) filter (d = m) end as bc from (select *, min(d) over (partition by obs) as m from near) group by obs),
+halves as (select cut.*, ra.bc as na, rb.bc as nb, s[i + 30:i + 37] as umi, qual[i + 30:i + 37] as own from cut left join res ra on ra.obs = a left join res rb on rb.obs = b),
+told as (select *, case when i is null then 'linker_not_found' when nb is null then 'bad_barcode2' when na is null then 'bad_barcode1' when s[i + 29:i + 29] <> 'G' then 'umi_left_not_found' when length(umi) < 8 then 'umi_too_short' else 'kept' end as reason from halves)"""
+
+
+@query(_UMI + " select row_id, reason, case when reason = 'kept' then nb || na || umi end as seq, case when reason = 'kept' then repeat('I', 20) || own end as qual from told")
 def umi_demultiplexed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reads.demultiplex_umi(adapters.fastq(spark, sf_dir), adapters.listed(spark, sf_dir), adapters.linker(spark, sf_dir), "", 8)
+    return reads.demultiplex_umi(adapters.fastq(spark, sf_dir), adapters.listed(spark, sf_dir), adapters.linker(spark, sf_dir), "G", 8)
+
+
+#: A short anchor, which many reads lack or have twice.
+_ANCHOR = "ACGTC"
+_DEMUX_PAIRS = _DEMUX.replace("length(s) >= 38", "length(s) >= 43").replace("length(s) < 38", "length(s) < 43").replace("when ra.bc is null then", "when z.p is null then 'tn5_not_found' when ra.bc is null then").replace(
+    "from cut left join res ra", "from cut left join seed z using (row_id) left join res ra"
+).replace("dm as (select row_id, name, seq, qual, i,", f"""an as (select row_id, s, i + 28 as e, unnest(range(i + 28, least(length(s), i + 68) - 4)) as p from cut where fits),
+ad as (select row_id, p, hamming(s[p + 1:p + 5], '{_ANCHOR}') as d from an), am as (select *, min(d) over (partition by row_id) as m from ad),
+seed as (select row_id, min(p) as p from am where d = m and m <= 1 group by 1 having count(*) = 1),
+dm as (select row_id, name, seq, qual, z.p as ins,""")
+
+
+@query(_DEMUX_PAIRS + """ select row_id, reason, case when reason = 'kept' then b || a end as spot, case when reason = 'kept' then '@' || b || a || ':' || name[2:] else name end as name,
+  case when reason = 'kept' then seq[ins + 6:] else seq end as seq, case when reason = 'kept' then qual[ins + 6:] else qual end as qual,
+  case when reason = 'kept' then '@' || b || a || ':' || name[2:] else name end as mate_name, reverse(seq) as mate_seq, reverse(qual) as mate_qual from dm""")
+def demultiplexed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of reads with an anchor; the spot is read back from the names."""
+    layout = reads.Layout(adapters.linker(spark, sf_dir), _ANCHOR, indels=False)
+    rows = adapters.fastq(spark, sf_dir)
+    pairs = rows.withColumn("r2", F.struct("name", F.reverse("seq").alias("seq"), "plus", F.reverse("qual").alias("qual")))
+    found = reads.demultiplex(pairs, adapters.listed(spark, sf_dir), layout)
+    mate = [F.col(f"r2.{c}").alias(f"mate_{c}") for c in ("name", "seq", "qual")]
+    return found.select("row_id", "reason", F.when(F.col("reason") == "kept", name_spot("name")).alias("spot"), "name", "seq", "qual", *mate)
+
+
+@query(_DEMUX_PAIRS + " select count(*) as total_reads, count(*) filter (reason = 'kept') as kept_reads, count(*) filter (reason in ('linker2_not_found', 'out_of_bounds', 'tn5_not_found')) as structure_mismatch, " + _REASONS + " from dm")
+def demux_reasons_with_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = reads.Layout(adapters.linker(spark, sf_dir), _ANCHOR, indels=False)
+    return reads.demux_stats(reads.demultiplex(adapters.fastq(spark, sf_dir), adapters.listed(spark, sf_dir), layout))
 
 
 # --- formats -----------------------------------------------------------------------------------------------

@@ -77,6 +77,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics of all files in one table."""
     one = drift.unified(_stats_files(spark, sf_dir), MEANS + COUNTS, set(COUNTS))
     return one.withColumnsRenamed({"grp": "sample_id", "key": "barcode"})
 
@@ -182,7 +183,7 @@ told as (select file_id, name, case when place = 1 then field end as field,
 """
 
 _ODD = r"regexp_replace(v, '^[~<>=]+\s*|\s*%$|\s+[A-Za-z]+$', '', 'g')"
-_TABLE = _FIELDS + r""",
+STATS_SQL = _FIELDS + r""",
 numbered as (select file_id, h, string_split(unnest(body), chr(9)) as c, generate_subscripts(body, 1) as k, body from heads),
 lasts as (select file_id, upper(trim(c[1])) as barcode, arg_max(c, k) as c, any_value(h) as h from numbered where trim(body[k]) <> '' and trim(c[1]) <> '' group by 1, 2),
 given as (select file_id, barcode, field, trim(c[list_position(h, name)]) as raw from lasts join told using (file_id) where field is not null),
@@ -192,19 +193,19 @@ numbers as (select file_id, barcode, field, v, case when regexp_full_match(v, '[
   when regexp_full_match(b, '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?') then try_cast(b as double)
   when regexp_full_match(b, '[+-]?\d{1,3}(,\d{3})+(\.\d+)?') then try_cast(replace(b, ',', '') as double)
   when regexp_full_match(b, '[+-]?\d+,\d+') then try_cast(replace(b, ',', '.') as double)
-  when regexp_full_match(b, '0[xX][0-9A-Fa-f]{1,15}') then cast(try_cast(lower(b) as bigint) as double) end as x from bared)
-select l.file_id, v.sample_id, v.version, l.barcode, """ + ", ".join(
+  when regexp_full_match(b, '0[xX][0-9A-Fa-f]{1,15}') then cast(try_cast(lower(b) as bigint) as double) end as x from bared),
+tbl as (select l.file_id, v.sample_id, v.version, l.barcode, """ + ", ".join(
     (f"cast(round(max(x) filter (field = '{f.lower()}')) as bigint)" if f in COUNTS else f"max(x) filter (field = '{f.lower()}')") + f' as "{f}"' for f in MEANS + COUNTS
 ) + """, cast(count(*) filter (n.v is not null and x is null) as int) as n_uncast,
   cast((select count(*) from told t where t.file_id = l.file_id and t.field is null) as int) as n_unmapped
-from lasts l join versioned v using (file_id) left join numbers n using (file_id, barcode) group by all
+from lasts l join versioned v using (file_id) left join numbers n using (file_id, barcode) group by all)
 """
 
 SQL = {
     "p4_found": _DRIFT + _CHANGES,
     "p4_steps": _STEPS,
     "p4_columns": _FIELDS + "select file_id, name, field, how from told",
-    "p4_table": _TABLE,
+    "p4_table": STATS_SQL + "select * from tbl",
     "p1_found": _COUNT_RECORDS + "select distinct file_id from count_files where file_id not in (select file_id from firsts)",
     "p1_compacted": _COUNT_RECORDS + "select sample_id, chunk_id, barcode, reads, file_id from firsts",
     "p1_in_two_runs": _COUNT_RECORDS + "select sample_id, chunk_id, barcode, reads, file_id from firsts",
