@@ -83,18 +83,18 @@ PLACES_BUCKET = 128
 def bases_at(alignments: DataFrame, places: DataFrame, min_mapq: int = 0, min_base_quality: int = 0, bucket: int = PLACES_BUCKET) -> DataFrame:
     """The rows of ``aligned_bases`` at ``places`` (``contig, pos`` and other columns, which are kept).
 
-    Reads, not bases, are shuffled: they meet the places of each bucket they touch as one array, and only their bases
-    at places become rows. A place stands in one bucket, so none comes out twice.
+    Aligned stretches of reads, not bases, are shuffled: they meet the places of each bucket they touch as one array, and
+    only their bases at places become rows. A place stands in one bucket, so none comes out twice.
     """
     extra = [c for c in places.columns if c not in ("contig", "pos")]
     held = places.groupBy("contig", F.floor(F.col("pos") / bucket).alias("_bucket")).agg(F.collect_list(F.struct(F.col("pos").cast("long").alias("pos"), *extra)).alias("_places"))
-    reads = _blocks(alignments, min_mapq)
-    touched = F.flatten(F.transform("blocks", lambda b: F.sequence(F.floor(b["r"] / bucket), F.floor((b["r"] + b["n"] - 1) / bucket))))
-    met = reads.where(F.size("blocks") > 0).withColumn("_bucket", F.explode(F.array_distinct(touched))).join(held, ["contig", "_bucket"])
-    keep = lambda p, b: F.struct(p.alias("p"), (p["pos"] - b["r"] + b["q"]).cast("int").alias("q"))
-    hits = F.flatten(F.transform("blocks", lambda b: F.transform(F.filter("_places", lambda p: (p["pos"] >= b["r"]) & (p["pos"] < b["r"] + b["n"])), lambda p: keep(p, b))))
-    rows = met.select("name", "flag", "spot", "contig", "seq", "n", "quals", F.inline(hits))
-    out = rows.select("name", "flag", "spot", "contig", F.col("p.pos").alias("pos"), "n", *_shown(F.col("q")), *(F.col(f"p.{c}").alias(c) for c in extra))
+    blocks = _blocks(alignments, min_mapq).select("name", "flag", "spot", "contig", "seq", "n", "quals", F.inline("blocks").alias("_q", "_r", "_n"))
+    touched = F.sequence(F.floor(F.col("_r") / bucket), F.floor((F.col("_r") + F.col("_n") - 1) / bucket))
+    met = blocks.withColumn("_bucket", F.explode(touched)).join(held, ["contig", "_bucket"])
+    rows = met.select("name", "flag", "spot", "contig", "seq", "n", "quals", "_q", "_r", "_n", F.explode("_places").alias("p"))
+    inside = rows.where((F.col("p.pos") >= F.col("_r")) & (F.col("p.pos") < F.col("_r") + F.col("_n")))
+    place = (F.col("p.pos") - F.col("_r") + F.col("_q")).cast("int")
+    out = inside.select("name", "flag", "spot", "contig", F.col("p.pos").alias("pos"), "n", *_shown(place), *(F.col(f"p.{c}").alias(c) for c in extra))
     return out.where(F.coalesce("qual", F.lit(255)) >= min_base_quality)
 
 

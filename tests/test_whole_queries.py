@@ -13,7 +13,7 @@ QUERIES = entry.queries()
 
 
 def found(spark, name, *columns):
-    return {tuple(r) for r in QUERIES[name](spark, DATA).select(*columns).collect()}
+    return {tuple(r) for r in QUERIES[name](spark, "/root/testdata/sf0.01").select(*columns).collect()}
 
 
 @pytest.mark.parametrize("name, shift", [("mbias", 90), ("mbias_by_strand", 0)])
