@@ -2,7 +2,7 @@
 
 Class-conditional Kneser-Ney models: a trigram model of toxic and one of ordinary sentences share their lowest
 order, the continuation counts of both, so that rare expressions are smoothed alike. A sentence's score is the
-difference of its two log-likelihoods over the square root of its length, a document's score that of its
+difference of its two log-likelihoods, each normalised by its length; a document's score is that of its
 highest sentence; a document is a case at or above a cutoff set by cross-validation on the labels. No single
 word can add more to a sum than a bound, so that a rare word in a wrongly labelled document doesn't decide.
 
@@ -28,7 +28,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,8 @@ from ..staging import stage
 
 #: The models are fitted to at most so many labelled documents, taken by the hash of their id.
 MAX_LABELLED = 12_000
+#: And to at most so many of their words: documents beyond, in the same order, are left out whole.
+MAX_WORDS = 4_000_000
 ROUNDS = 3
 #: Labelled documents are judged by models fitted without their own fold, of so many.
 FOLDS = 4
@@ -44,7 +46,7 @@ WORD_BOUND = 2.0
 #: The share of toxic sentences assumed in a document labelled toxic: cautious, so that chance repetitions don't count.
 TOXIC_SHARE = 0.01
 #: What the cutoff is drawn to where labels are few, and with the weight of how many documents.
-USUAL_CUTOFF, USUAL_WEIGHT = 0.0, 3.0
+USUAL_CUTOFF, USUAL_WEIGHT = 0.3, 3.0
 _DISCOUNTS = (0.75, 0.8)
 _TINY = 1e-9
 
@@ -217,7 +219,8 @@ class Models:
     def ratios(self, x: np.ndarray) -> np.ndarray:
         """At each word, or end, of sentences that lie one after another: the log of how much likelier it is in the toxic model.
 
-        Where neither model has seen the word after the one before, nothing is known and the ratio is 0.
+        Where neither model has seen the word after the one before, the shared backoff counts decide, by the weights that both
+        leave to them there.
         """
         size = len(self.unigram)
         b = np.concatenate([[self.end], x[:-1]])
@@ -228,8 +231,7 @@ class Models:
         for k in (0, 1):
             second = np.where(pair >= 0, self.pair[k][pair], 0) + self.lower[k][b] * self.unigram[x]
             p.append(np.where(triple >= 0, self.triple[k][triple], 0) + np.where(head >= 0, self.upper[k][head], 1) * second)
-        known = (pair >= 0) & ((self.pair[0][pair] > 0) | (self.pair[1][pair] > 0))
-        return np.where(known, np.clip(np.log(p[1]) - np.log(p[0]), -WORD_BOUND, WORD_BOUND), 0)
+        return np.clip(np.log(p[1]) - np.log(p[0]), -WORD_BOUND, WORD_BOUND)
 
     def sums(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The summed ratio of each sentence, its length with its end, and where that stands in ``x``; none is empty."""
@@ -242,7 +244,7 @@ class Models:
     def scores(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The score of each sentence, and where it ends in ``x``."""
         total, length, ends = self.sums(x)
-        return total / np.sqrt(length), ends
+        return total / length, ends
 
 
 class Reader:
@@ -295,14 +297,17 @@ class Reader:
         return np.where(np.isinf(out), np.nan, out)
 
 
+def _order() -> Column:
+    return F.xxhash64(F.col("doc_id"), F.lit("sample"))
+
+
 def labelled(documents: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> DataFrame:
     """``doc_id, toxic, fold, text`` of at most ``bound`` labelled documents.
 
     A document's label is what most of its reviewers say; ties, null verdicts and null ids count for nothing.
     """
     votes = labels.where("doc_id is not null and abusive is not null").groupBy("doc_id").agg(F.avg("abusive").alias("share"))
-    order = F.xxhash64(F.col("doc_id"), F.lit("sample"))
-    some = votes.where("share <> 0.5").select("doc_id", (F.col("share") > 0.5).cast("int").alias("toxic")).orderBy(order, "doc_id").limit(bound)
+    some = votes.where("share <> 0.5").select("doc_id", (F.col("share") > 0.5).cast("int").alias("toxic")).orderBy(_order(), "doc_id").limit(bound)
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold")
     return documents.where("text is not null").select("doc_id", "text").join(F.broadcast(some), "doc_id").select("doc_id", "toxic", fold, "text")
 
@@ -320,6 +325,16 @@ def _sentence_table(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "toxic", "fold", "text").mapInArrow(run, "doc_id bigint, toxic int, fold int, words array<string>")
 
 
+def within_words(table: DataFrame, most: int = MAX_WORDS) -> DataFrame:
+    """The sentences of the documents that come first by the hash of their id and have at most ``most`` words, ends included, in all."""
+    size = F.sum(F.size("words") + 1).cast("long").alias("n")
+    if (table.agg(size).first()[0] or 0) <= most:
+        return table
+    order = Window.orderBy(_order(), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # a row for each labelled document
+    kept = table.groupBy("doc_id").agg(size).withColumn("upto", F.sum("n").over(order)).where(F.col("upto") <= most)
+    return table.join(F.broadcast(kept.select("doc_id")), "doc_id", "left_semi")
+
+
 def _triples(table: DataFrame, weight: Column | None = None) -> pd.DataFrame:
     """The counts of all triples of words of the sentences of a bounded number of documents, by label and fold."""
     padded = F.concat(F.array(F.lit(_END), F.lit(_END)), "words", F.array(F.lit(_END)))
@@ -340,16 +355,16 @@ def _judge(table: DataFrame, counts: pd.DataFrame) -> tuple[Column, Column]:
             m = shared.value[f]
             total, length, _ = m.sums(np.array([i for s in own for i in [*(m.ids.get(w, 0) for w in s), m.end]], np.int64))
             out.loc[own.index, "sum"] = total
-            out.loc[own.index, "score"] = total / np.sqrt(length)
+            out.loc[own.index, "score"] = total / length
         return out
 
     found = judge("fold", "words")
     return found["sum"], found["score"]
 
 
-def fit(documents: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED, rounds: int = ROUNDS) -> tuple[Models, float]:
-    """The models and the cutoff."""
-    table = stage(_sentence_table(labelled(documents, labels, bound)), "moderation-sentences")
+def fit(documents: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED, rounds: int = ROUNDS, words: int = MAX_WORDS) -> tuple[Models, float]:
+    """The models and the cutoff, from at most ``bound`` labelled documents with at most ``words`` words."""
+    table = within_words(stage(_sentence_table(labelled(documents, labels, bound)), "moderation-sentences"), words)
     counts = _triples(table)
     ordinary, toxic = counts[counts.toxic == 0], table.where("toxic = 1")
     prior = math.log(TOXIC_SHARE / (1 - TOXIC_SHARE))

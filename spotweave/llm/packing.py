@@ -3,7 +3,7 @@
 Cost-balanced packing: a text's cost is estimated as linear plus quadratic attention cost in its tokens; texts
 are taken in descending length and each goes to the container of lowest cost that still has room for it.
 
-Texts are first spread by hash over groups of a bounded number of tokens, and each group is packed by itself:
+Texts are first spread by a hash of their place over groups of a bounded number of tokens, and each group is packed by itself:
 a group of about a thousand containers leaves no more room unused than the whole corpus would, and no task
 holds more than one group. A text over the capacity is cut at multiples of the capacity; no other is split.
 """
@@ -68,19 +68,22 @@ def pack(lengths: DataFrame, capacity: int = CAPACITY, group_tokens: int = GROUP
 
     A text within the capacity is one piece 0; a longer one has pieces of the full capacity and a last one with
     the rest. Texts without tokens (null and empty ones) take no place and have no row; rows sent twice are
-    packed twice. Equal lengths go in the order of ``doc_id``. An empty table gives an empty one.
+    packed twice, and null or repeated ids spread like others. Equal lengths go in the order of ``doc_id``. An empty table gives an empty one.
     """
-    known = stage(lengths.select("doc_id", "n_tokens"), "pack-lengths").where("n_tokens > 0")
+    m = F.col("_metadata")
+    place = F.xxhash64(F.substring(m["file_name"], 1, 10), m["row_index"])  # the number of its file, and its row there
+    known = stage(lengths.select("doc_id", "n_tokens"), "pack-lengths").select("*", place.alias("place")).where("n_tokens > 0")
     total = known.agg(F.sum(F.col("n_tokens") + 1)).first()[0] or 0
     groups = max(1, math.ceil(total / group_tokens))
     cut = F.explode(F.sequence(F.lit(0), F.floor((F.col("n_tokens") - 1) / capacity))).alias("piece")
-    pieces = known.select("doc_id", "n_tokens", cut).select(
+    pieces = known.select("doc_id", "n_tokens", "place", cut).select(
         "doc_id",
+        "place",
         F.col("piece").cast("int").alias("piece"),
         (F.col("piece") * capacity).cast("long").alias("start_token"),
         F.least(F.col("n_tokens") - F.col("piece") * capacity, F.lit(capacity)).cast("long").alias("n_tokens"),
     )
-    grouped = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    grouped = pieces.withColumn("grp", F.pmod(F.xxhash64("place", "piece"), F.lit(groups))).drop("place")
 
     def each(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["n_tokens", "doc_id", "piece"], ascending=[False, True, True], kind="stable")

@@ -113,3 +113,21 @@ def test_clashing_columns_and_repeated_rows(spark, judged):
     d = judged[2].unionByName(judged[2].where("doc_id = 5")).withColumns(extra)
     got = m.moderated(d, judged[3].withColumns({n: F.lit(1) for n in ("toxic", "share", "text")}), "source")
     assert got.columns == ["doc_id", "source", "score", "abusive"] and got.where("doc_id = 5").count() == 2 and got.count() == judged[2].count() + 1
+
+
+def test_the_words_fitted_to_are_bounded(spark):
+    table = spark.createDataFrame([(i, 0, 0, ["w"] * (i + 1)) for i in range(20)], "doc_id bigint, toxic int, fold int, words array<string>")
+    assert m.within_words(table, 10_000).count() == 20
+    kept = m.within_words(table, 60).collect()
+    assert 0 < len(kept) < 20 and sum(len(r["words"]) + 1 for r in kept) <= 60
+    assert m.within_words(table, 0).count() == 0 and m.within_words(table.limit(0), 5).count() == 0
+
+
+def test_unseen_pairs_are_judged_by_the_backoff():
+    import pandas as pd
+
+    counts = pd.DataFrame([(1, "a", "b", "c", 5.0), (0, "a", "b", "d", 5.0), (0, "d", "e", "c", 2.0)], columns=["toxic", "a", "b", "c", "n"])
+    models = m.Models.fit(counts)
+    x = np.array([models.ids["c"], models.ids["e"], models.end])
+    total, length, _ = models.sums(x)
+    assert models.scores(x)[0][0] == total[0] / length[0] and np.isfinite(models.ratios(x)).all()

@@ -65,3 +65,9 @@ def test_edges(spark):
     assert packing.pack(df).count() == 0
     df = spark.createDataFrame([(1, 5), (1, 5)], "doc_id bigint, n_tokens bigint")
     assert packing.pack(df).count() == 2
+
+
+def test_repeated_and_null_ids_spread_over_the_groups(spark):
+    lengths = spark.range(400).selectExpr("cast(null as bigint) as doc_id", "100L as n_tokens")
+    packed = packing.pack(lengths, 1000, 5000).collect()
+    assert sum(r.n_tokens for r in packed) == 40_000 and len({r.container_id >> 24 for r in packed}) > 4
