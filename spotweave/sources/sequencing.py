@@ -6,14 +6,17 @@ chunks. Register with ``register(spark)``, then ``spark.read.format("fastq").loa
 
 from __future__ import annotations
 
-import glob
+import fnmatch
 import gzip
+import io
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -36,15 +39,36 @@ class File(InputPartition):
     mate: str | None = None
 
 
+def _located(path: str) -> tuple[fs.FileSystem, str, str]:
+    """The file system of a path, the path there, and what to put before one of its paths to name it again."""
+    if "://" not in path and not path.startswith("file:"):
+        return fs.LocalFileSystem(), path, ""
+    found, inner = fs.FileSystem.from_uri(path)
+    return found, inner, path[: path.index(inner)] if inner in path else ""
+
+
 def files_of(path: str, endings: tuple[str, ...]) -> list[str]:
-    """The files with such an ending under a folder, or those that a pattern names."""
-    if os.path.isdir(path):
-        return sorted(os.path.join(d, n) for d, _, names in os.walk(path) for n in names if n.endswith(endings))
-    return sorted(glob.glob(path))
+    """The files with such an ending under a folder, or those that a pattern names, on any file system that Arrow knows."""
+    found, inner, prefix = _located(path)
+    fixed = re.split(r"[*?\[]", inner, maxsplit=1)[0]
+    base = inner if fixed == inner else os.path.dirname(fixed) or "."
+    if found.get_file_info(base).type == fs.FileType.File:
+        return [path]
+    names = [i.path for i in found.get_file_info(fs.FileSelector(base, allow_not_found=True, recursive=True)) if i.type == fs.FileType.File]
+    if base == inner:
+        return sorted(prefix + n for n in names if n.endswith(endings))
+    depth = inner.count("/")
+    return sorted(prefix + n for n in names if n.count("/") == depth and fnmatch.fnmatchcase(n, inner))
+
+
+def _bytes(path: str) -> io.BufferedIOBase:
+    found, inner, _ = _located(path)
+    return found.open_input_file(inner)
 
 
-def _open(path: str):
-    return gzip.open(path, "rt") if path.endswith(".gz") else open(path)
+def _open(path: str) -> io.TextIOWrapper:
+    raw = _bytes(path)
+    return io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw)
 
 
 def fastq_records(path: str) -> Iterator[tuple[str, str, str, str]]:
@@ -86,7 +110,11 @@ class _Source(DataSource):
         return _Reader(self, to_arrow_schema(schema))
 
     def partitions(self) -> list[File]:
-        return [File(p) for p in files_of(self.options["path"], self.endings)]
+        return [File(p) for p in files_of(self.options["path"], self.wanted())]
+
+    def wanted(self) -> tuple[str, ...]:
+        """The endings of files that are read: the format's own, or the one given as ``ending``."""
+        return (self.options["ending"],) if "ending" in self.options else self.endings
 
     def rows(self, part: File) -> Iterator[tuple]:
         raise NotImplementedError
@@ -118,7 +146,8 @@ class FastqSource(_Source):
 
 
 class FastqPairSource(_Source):
-    """Mates by their number: ``path`` names the first mates' files, in whose names ``R1`` becomes ``R2`` for the second.
+    """Mates by their number: ``path`` names the first mates' files, in whose names ``R1`` becomes ``R2`` for the second, or
+    whose folders ``mate=R1`` have a ``mate=R2`` beside them with a file of the same name.
 
     Files of different lengths are an error, or with ``truncate=true`` end with the shorter one.
     """
@@ -130,8 +159,14 @@ class FastqPairSource(_Source):
         return "fastq_pairs"
 
     def partitions(self) -> list[File]:
-        firsts = [p for p in files_of(self.options["path"], self.endings) if "R1" in os.path.basename(p)]
-        return [File(p, os.path.join(os.path.dirname(p), os.path.basename(p).replace("R1", "R2"))) for p in firsts]
+        return [File(p, self._mate(p)) for p in files_of(self.options["path"], self.wanted()) if self._mate(p)]
+
+    @staticmethod
+    def _mate(path: str) -> str | None:
+        folder, name = os.path.split(path)
+        if "mate=R1" in folder:
+            return os.path.join(folder.replace("mate=R1", "mate=R2"), name)
+        return os.path.join(folder, name.replace("R1", "R2")) if "R1" in name else None
 
     def rows(self, part: File) -> Iterator[tuple]:
         strict = self.options.get("truncate", "false") != "true"
@@ -183,7 +218,7 @@ class BamSource(_Source):
 
     def rows(self, part: File) -> Iterator[tuple]:
         wanted = self.options.get("tag", "CB")
-        with gzip.open(part.path, "rb") as f:
+        with gzip.GzipFile(fileobj=_bytes(part.path)) as f:
             if f.read(4) != b"BAM\1":
                 raise ValueError(f"{part.path} is no BAM file")
             f.read(struct.unpack("<i", f.read(4))[0])

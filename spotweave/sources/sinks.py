@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import formatted
+from ..staging import stage
 
 _TAB = "\t"
 
@@ -19,23 +23,71 @@ def _cells(df: DataFrame, formats: dict[str, str], missing: str) -> list[Column]
 
 
 def write_tsv(df: DataFrame, path: str, formats: dict[str, str] | None = None, missing: str = "NA") -> None:
-    """One file with a header, for reports: nulls as ``NA``, numbers by Python's patterns, lines ended by CR LF."""
+    """The rows in the order of ``df``, every file with the header: nulls as ``NA``, numbers by Python's patterns, lines
+    ended by CR LF. A report that should be one file is coalesced by the caller; an empty one is a header."""
     text = df.select(*_cells(df, formats or {}, missing))
-    _write_lines(text, path)
+    head = _TAB.join(text.columns)
+    lines = text.select(F.concat_ws(_TAB, *(F.col(f"`{c}`") for c in text.columns)).alias("value"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = True
+        for batch in batches:
+            if first and batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([head], batch.schema.field(0).type)], schema=batch.schema)
+                first = False
+            yield batch
 
+    found = _headed([head], lines) if df.isEmpty() else lines.mapInArrow(run, "value string")
+    found.write.mode("overwrite").text(path, lineSep="\r\n")
 
-def _write_lines(text: DataFrame, path: str) -> None:
-    head = text.sparkSession.range(1).select(F.lit(0).alias("o"), F.lit(_TAB.join(text.columns)).alias("value"))
-    body = text.select(F.lit(1).alias("o"), F.concat_ws(_TAB, *(F.col(f"`{c}`") for c in text.columns)).alias("value"))
-    head.unionByName(body).repartition(1).sortWithinPartitions("o").select("value").write.mode("overwrite").text(path, lineSep="\r\n")
+
+def _headed(head: list[str], lines: DataFrame) -> DataFrame:
+    """The lines with a header as a partition of its own before theirs."""
+    first = lines.sparkSession.range(0, 1, 1, 1).select(F.explode(F.array(*map(F.lit, head))).alias("value"))
+    return first.union(lines)
 
 
 def write_coverage(cov: DataFrame, path: str) -> None:
     """Coverage files by spot, in folders ``prefix=../spot=..``: sites in order, each spot within one task."""
+    rows = _coverage_lines(cov)
+    rows.repartition("spot").sortWithinPartitions("spot", "contig", "pos").write.mode("overwrite").partitionBy("prefix", "spot").csv(path, sep=_TAB)
+
+
+def _coverage_lines(cov: DataFrame) -> DataFrame:
     cols = ["contig", "pos", F.col("pos").alias("end"), F.format_string("%.2f", "pct").alias("pct"), "meth", "unmeth"]
     extra = [c for c in ("context", "strand") if c in cov.columns]
-    rows = cov.select(*cols, *extra, "spot", F.substring("spot", 1, 3).alias("prefix"))
-    rows.repartition("spot").sortWithinPartitions("spot", "contig", "pos").write.mode("overwrite").partitionBy("prefix", "spot").csv(path, sep=_TAB)
+    return cov.select(*cols, *extra, F.col("spot").cast("string").alias("spot"), F.substring("spot", 1, 3).alias("prefix"))
+
+
+def write_spot_files(cov: DataFrame, path: str, context: str, roster: DataFrame | None = None) -> None:
+    """One file per spot of an array, ``<first three letters>/<spot>.<context>.cov``, as ``tables.coverage`` reads them.
+
+    Spots of ``roster`` (``spot``) without rows get an empty file. The files are written aside, then moved into place one
+    by one; those that are there already are replaced.
+    """
+    spark = cov.sparkSession
+    aside = f"{path}/_{context}"
+    write_coverage(cov, aside)
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def target(spot: str):
+        fs.mkdirs(at(f"{path}/{spot[:3]}"))
+        place = at(f"{path}/{spot[:3]}/{spot}.{context}.cov")
+        fs.delete(place, False)
+        return place
+
+    done = set()
+    for file in fs.globStatus(at(f"{aside}/prefix=*/spot=*/part-*")) or []:
+        spot = file.getPath().getParent().getName()[5:]
+        fs.rename(file.getPath(), target(spot))
+        done.add(spot)
+    if roster is not None:
+        for row in roster.select(F.col("spot").cast("string").alias("spot")).where("spot is not null").distinct().toLocalIterator():  # an array's spots
+            if row.spot not in done:
+                fs.create(target(row.spot), True).close()
+    fs.delete(at(aside), True)
 
 
 def write_aggregate(cov: DataFrame, path: str) -> None:
@@ -53,22 +105,21 @@ def matrix_entries(matrix: DataFrame, bins: DataFrame, spots: DataFrame, width:
 
 
 def write_matrix(matrix: DataFrame, bins: DataFrame, spots: DataFrame, width: int, path: str) -> None:
-    """``features``, ``barcodes`` and ``matrix`` folders with one gzip text file each; the matrix begins with its MatrixMarket header."""
-    entries = matrix_entries(matrix, bins, spots, width).cache()
+    """``features``, ``barcodes`` and ``matrix`` folders of gzip text files that follow each other, sorted over all tasks.
+
+    The matrix begins with its MatrixMarket header; gzip files appended to each other are one gzip file.
+    """
+    entries = stage(matrix_entries(matrix, bins, spots, width), "matrix")
     n_rows, n_cols, n = bins.count(), spots.select("spot").distinct().count(), entries.count()
-    head = [(0, "%%MatrixMarket matrix coordinate real general"), (1, f"{n_rows} {n_cols} {n}")]
-    body = entries.select(
-        F.lit(2).alias("o"), "row", "col", F.concat_ws(" ", "row", "col", "meth", "cov", formatted(".6g")(F.col("frac"))).alias("value")
-    )
-    top = matrix.sparkSession.createDataFrame(head, "o int, value string").select("o", F.lit(0).cast("long").alias("row"), F.lit(0).alias("col"), "value")
-    _one(top.unionByName(body).repartition(1).sortWithinPartitions("o", "col", "row").select("value"), f"{path}/matrix")
+    head = ["%%MatrixMarket matrix coordinate real general", f"{n_rows} {n_cols} {n}"]
+    body = entries.orderBy("col", "row").select(F.concat_ws(" ", "row", "col", "meth", "cov", formatted(".6g")(F.col("frac"))).alias("value"))
+    _zipped(_headed(head, body), f"{path}/matrix")
     feature = F.concat(F.col("contig"), F.lit(":"), F.col("start"), F.lit("-"), F.col("end"))
-    _one(bins.repartition(1).sortWithinPartitions("bin_id").select(F.concat_ws(_TAB, feature, "contig", "start", "end").alias("value")), f"{path}/features")
-    _one(spots.select("spot").distinct().repartition(1).sortWithinPartitions("spot").select(F.col("spot").alias("value")), f"{path}/barcodes")
-    entries.unpersist()
+    _zipped(bins.orderBy("bin_id").select(F.concat_ws(_TAB, feature, "contig", "start", "end").alias("value")), f"{path}/features")
+    _zipped(spots.select("spot").distinct().orderBy("spot").select(F.col("spot").cast("string").alias("value")), f"{path}/barcodes")
 
 
-def _one(lines: DataFrame, path: str) -> None:
+def _zipped(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").option("compression", "gzip").text(path)
 
 

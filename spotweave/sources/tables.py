@@ -90,14 +90,14 @@ def positions(spark: SparkSession, path: str) -> DataFrame:
     return lines.where("row > 0").select(F.col("row").alias("line_no"), f[0].alias("barcode"), cell(1).alias("array_row"), cell(2).alias("array_col"))
 
 
-def _documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True, pathGlobFilter="*.json").select(F.col("_metadata.file_path").alias("path"), "value")
+def _documents(spark: SparkSession, path: str, names: str = "*.json") -> DataFrame:
+    return spark.read.text(path, wholetext=True, pathGlobFilter=names, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
-def trimming_reports(spark: SparkSession, path: str) -> DataFrame:
+def trimming_reports(spark: SparkSession, path: str, names: str = "*.json") -> DataFrame:
     """``path, reads_before, reads_after, bases_before, bases_after`` of trimming reports; what isn't there is null."""
     at = lambda when, what: as_int(first_json(F.col("value"), f"$.summary.{when}_filtering.{what}")).alias(f"{what[6:]}_{when}")
-    return _documents(spark, path).select("path", *(at(w, t) for t in ("total_reads", "total_bases") for w in ("before", "after")))
+    return _documents(spark, path, names).select("path", *(at(w, t) for t in ("total_reads", "total_bases") for w in ("before", "after")))
 
 
 def demux_reports(spark: SparkSession, path: str) -> DataFrame:
@@ -121,5 +121,6 @@ def funnels(spark: SparkSession, path: str) -> DataFrame:
 def discovered_spots(spark: SparkSession, path: str, listed: DataFrame) -> DataFrame:
     """``spot``: the names of coverage files that are in the list, in order."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.cov*").load(path)
-    names = files.select(F.substring_index(F.element_at(F.split("path", "/"), -1), ".", 1).alias("spot")).distinct()
+    stems = sorted({name.rsplit("/", 1)[-1].split(".", 1)[0] for name in files.inputFiles()})  # an array's files, empty ones too
+    names = spark.createDataFrame([(s,) for s in stems], "spot string")
     return names.join(listed.select(F.col("barcode").alias("spot")), "spot", "left_semi").orderBy("spot")

@@ -2,7 +2,8 @@
 
 The folder is the one named in ``spark.checkpoint.dir`` (or set on the SparkContext). Only a local session
 without such a setting gets a temporary folder of its own; a cluster without one is an error, since a
-machine-local folder would be lost with its executor.
+machine-local folder would be lost with its executor. Staged tables lie in a folder of the application there, which
+Hadoop deletes when the application ends.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SETTING = "spark.checkpoint.dir"
+_MARKED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,9 +31,21 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def _run_dir(spark: SparkSession) -> str:
+    """The folder of this application in the shared one; it goes when the application ends."""
+    path = f"{shared_dir(spark)}/spotweave-{spark.sparkContext.applicationId}"
+    if path not in _MARKED:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        _MARKED.add(path)
+    return path
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing uses yet."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing uses yet, for as long as the application runs."""
+    return f"{_run_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

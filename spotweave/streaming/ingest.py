@@ -17,9 +17,10 @@ def load_fastq(stream: DataFrame, loaded: str, rejected: str, checkpoint: str, *
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        parsed = rejects.parse_rows(batch)
+        parsed = rejects.parse_rows(batch).persist()
         rejects.loaded(parsed).write.mode("overwrite").parquet(f"{loaded}/batch={number}")
         rejects.rejected(parsed).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+        parsed.unpersist()
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 

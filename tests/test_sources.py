@@ -125,6 +125,13 @@ def test_coverage_files(spark, tmp_path, rows):
     assert rows(tables.coverage(spark, str(tmp_path / "in" / "AAC" / "GGTT.CH.cov"), context="CC"), "spot", "pos", "strand") == [("GGTT", 6, "-")]
     listed = spark.createDataFrame([("GGTT", 0), ("TTTT", 1)], "barcode string, idx int")
     assert [r.spot for r in tables.discovered_spots(spark, str(tmp_path / "in"), listed).collect()] == ["GGTT"]
+    roster = spark.createDataFrame([("CCCC",), ("AACC",), (None,)], "spot string")
+    sinks.write_spot_files(cov.drop("context", "strand"), str(tmp_path / "spots"), "CG", roster)
+    assert {str(p.relative_to(tmp_path / "spots")): p.read_text() for p in (tmp_path / "spots").rglob("*.cov")} == {
+        "AAC/AACC.CG.cov": text, "GGT/GGTT.CG.cov": "chr2\t1\t1\t0.00\t0\t1\n", "CCC/CCCC.CG.cov": ""
+    }
+    named = listed.unionByName(spark.createDataFrame([("CCCC", 2)], listed.schema))
+    assert [r.spot for r in tables.discovered_spots(spark, str(tmp_path / "spots"), named).collect()] == ["CCCC", "GGTT"]
     sinks.write_aggregate(cov, str(tmp_path / "agg"))
     lines = "".join(p.read_text() for p in sorted((tmp_path / "agg").glob("*.csv"))).splitlines()
     assert [x.split("\t")[1] for x in lines] == ["5", "9", "1"]
@@ -135,11 +142,27 @@ def test_matrix_and_reports(spark, tmp_path):
     bins = sites.genomic_bins(contigs, 100)
     cov = spark.createDataFrame([("BB", "chr1", 150, "CG", 3, 1), ("AA", "chr1", 10, "CG", 1, 2)], "spot string, contig string, pos bigint, context string, meth bigint, unmeth bigint")
     sinks.write_matrix(sites.bin_matrix(cov, 100).where("context = 'CG'"), bins, cov, 100, str(tmp_path))
-    text = {n: gzip.open(next((tmp_path / n).glob("*.gz")), "rt").read() for n in ("matrix", "features", "barcodes")}
+    text = {n: "".join(gzip.open(p, "rt").read() for p in sorted((tmp_path / n).glob("*.gz"))) for n in ("matrix", "features", "barcodes")}
     assert text["matrix"].splitlines() == ["%%MatrixMarket matrix coordinate real general", "3 2 2", "1 1 1 3 0.333333", "2 2 3 4 0.75"]
     assert text["features"].splitlines()[2] == "chr1:200-250\tchr1\t200\t250" and text["barcodes"] == "AA\nBB\n"
     sinks.write_tsv(spark.createDataFrame([("a", 1234.5, None)], "s string, x double, n int"), str(tmp_path / "r"), {"x": ".2f"})
-    assert next((tmp_path / "r").glob("*.txt")).read_bytes() == b"s\tx\tn\r\na\t1234.50\tNA\r\n"
+    assert b"".join(p.read_bytes() for p in sorted((tmp_path / "r").glob("*.txt"))) == b"s\tx\tn\r\na\t1234.50\tNA\r\n"
+
+
+def test_reports_are_read_back_whatever_their_files(spark, tmp_path, rows):
+    sinks.write_tsv(spark.range(100).selectExpr("concat('AC', id) as barcode", "id as reads").repartition(7), str(tmp_path / "many"))
+    assert tables.read_counts(spark, str(tmp_path / "many")).count() == 100
+    sinks.write_tsv(spark.createDataFrame([], "barcode string, reads int"), str(tmp_path / "none"))
+    assert tables.read_counts(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_listing_by_pattern_and_address(tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    for n in ("a/x.fq", "a/b/y.fq", "a/b/z.txt"):
+        write(tmp_path / n, "")
+    found = lambda p: [x.rsplit("/", 1)[1] for x in sequencing.files_of(p, (".fq",))]
+    assert found(str(tmp_path)) == ["y.fq", "x.fq"] and found(f"{tmp_path}/a/*.fq") == ["x.fq"] and found(f"file://{tmp_path}/a/b") == ["y.fq"]
+    assert found(f"{tmp_path}/a/x.fq") == ["x.fq"] and found(f"{tmp_path}/none") == []
 
 
 def test_demultiplexed_files(spark, tmp_path):
