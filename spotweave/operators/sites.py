@@ -137,6 +137,26 @@ def coverage(calls: DataFrame, *by: str) -> DataFrame:
     return with_percent(sums)
 
 
+def coverage_by_target(calls: DataFrame, targets: DataFrame, whole: str = "host") -> DataFrame:
+    """``target, spot, contig, pos, context, strand, meth, unmeth, pct``: the calls of all targets from one pass.
+
+    ``targets`` (``contig, target``) says which contigs are the host's, mitochondrial or a spike's. Those of the target
+    ``whole`` are counted by spot, all others over the spots (a null spot); contigs that aren't listed are left out.
+    """
+    named = calls.join(targets.dropDuplicates(["contig"]), "contig")
+    return coverage(named.withColumn("spot", F.when(F.col("target") == whole, F.col("spot"))), "target", "spot")
+
+
+def in_contig_order(shards: list[DataFrame], contigs: DataFrame, *then: str) -> DataFrame:
+    """The rows of all shards in the order of their contigs (``contig, ord``), places and ``then``, in sorted ranges; the
+    columns that one of them lacks are null there, and contigs that aren't listed come last."""
+    rows = shards[0]
+    for other in shards[1:]:
+        rows = rows.unionByName(other, allowMissingColumns=True)
+    known = contigs.groupBy("contig").agg(F.min("ord").alias("_ord"))
+    return rows.join(known, "contig", "left").orderBy(F.asc_nulls_last("_ord"), "contig", "pos", *then).drop("_ord")
+
+
 def with_percent(cov: DataFrame) -> DataFrame:
     """Sites with reads and their percentage of methylated ones, rounded to two places."""
     total = F.col("meth") + F.col("unmeth")
@@ -414,6 +434,17 @@ def region_matrix(cov: DataFrame, regions: DataFrame) -> DataFrame:
     return rows.where("cov > 0").withColumn("frac", F.col("meth") / F.col("cov"))
 
 
+def region_chain(cov: DataFrame, least: int, width: int, step: int, share: float, regions: DataFrame | None = None) -> DataFrame:
+    """``region, contig, start, end, spot, meth, cov, frac``: the matrix of the spots with at least ``least`` sites over
+    ``regions``, or over their variable regions if none are given; ``region`` numbers these from their contig and place."""
+    kept = enough_sites(cov, least)
+    if regions is None:
+        found = variable_regions(kept, width, step, share)
+        regions = found.select(F.concat_ws(":", "contig", "start").alias("region"), "contig", "start", "end")
+    regions = stage(regions.select("region", "contig", "start", "end"), "regions")
+    return region_matrix(kept, regions).join(regions, "region")
+
+
 def region_profile(cov: DataFrame, regions: DataFrame, bin_width: int) -> DataFrame:
     """``offset, n, mean_frac``: the mean fraction of sites by their place from a region's start, from its end on the minus strand."""
     rows = intervals_joined(cov.where("meth + unmeth > 0"), regions)

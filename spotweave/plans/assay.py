@@ -431,6 +431,17 @@ def call_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.coverage(sites.site_calls(_at(spark, sf_dir), True, (2, 1), (1, 0)), "spot")
 
 
+@query(_BASES + """, targeted as (select *, case cast(contig[2:] as bigint) % 5 when 0 then 'host_mito' when 1 then 'spike_a' when 2 then null else 'host' end as target from called where m is not null),
+  pooled as (select *, case when target = 'host' then spot end as who from targeted where target is not null)
+  select target, who as spot, contig, pos, context, strand, count(*) filter (m) as meth, count(*) filter (not m) as unmeth, round_even(count(*) filter (m) / count(*) * 100, 2) as pct from pooled group by all""")
+def call_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, mitochondrial and spike contigs called in one pass; only the host's sites are counted by spot."""
+    kind = F.substr("contig", F.lit(2)).cast("long") % 5
+    target = F.when(kind == 0, "host_mito").when(kind == 1, "spike_a").when(kind == 2, None).otherwise("host")
+    targets = adapters.chunk_reference(spark, sf_dir).select("contig").distinct().withColumn("target", target).where("target is not null")
+    return sites.coverage_by_target(sites.site_calls(_at(spark, sf_dir), True, (2, 1), (1, 0)), targets)
+
+
 _MBIAS = """, cyc as (select case when flag & 64 <> 0 then 'R1' else 'R2' end as read, {cycle} as cycle, {state} as m from {rows})
 select read, cast(cycle as int) as cycle, count(*) filter (m) as meth, count(*) filter (not m) as unmeth, count(*) as coverage, round_even(count(*) filter (m) / count(*), 6) as rate
 from cyc where m is not null and cycle between 1 and 60 group by 1, 2 having count(*) > 5"""
@@ -546,6 +557,22 @@ def variable_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(sites.variable_regions(adapters.coverage(spark, sf_dir), 100, 50, 0.1), "variance")
 
 
+_CHAIN = """, strong as (select spot from cov where meth + unmeth > 0 group by 1 having count(*) >= 550), kcov as (select cov.* from cov join strong using (spot)),
+  k as (select spot, contig, unnest(range(greatest(cast(floor((pos - 100) / 50) as bigint) + 1, 0), pos // 50 + 1)) as k, meth, unmeth from kcov),
+  f as (select spot, contig, k, cast(sum(meth) as bigint) / cast(sum(meth + unmeth) as bigint) as frac from k group by 1, 2, 3), v as (select contig, k, var_samp(frac) as v from f group by 1, 2 having count(*) > 1),
+  c as (select * from v where v >= (select quantile_cont(v, 0.9) from v)), w as (select contig, k * 50 as s, k * 50 + 100 as e, v from c),
+  r as (select *, max(e) over (partition by contig order by s rows between unbounded preceding and 1 preceding) as reach from w),
+  i as (select *, sum(case when s <= reach then 0 else 1 end) over (partition by contig order by s) as i from r),
+  g as (select contig || ':' || min(s) as region, contig, cast(min(s) as bigint) as start, cast(max(e) as bigint) as "end" from i group by contig, i)"""
+
+
+@query("with " + COV_SQL + _CHAIN + """ select region, g.contig, start, g."end", spot, cast(sum(meth) as bigint) as meth, cast(sum(meth + unmeth) as bigint) as cov, cast(sum(meth) as bigint) / cast(sum(meth + unmeth) as bigint) as frac
+  from kcov join g on g.contig = kcov.contig and pos >= start and pos < g."end" group by 1, 2, 3, 4, 5 having sum(meth + unmeth) > 0""")
+def region_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filter, scan and matrix in one: the regions are found, since none are given."""
+    return sites.region_chain(adapters.coverage(spark, sf_dir), 550, 100, 50, 0.1)
+
+
 # --- reads -------------------------------------------------------------------------------------------------
 
 

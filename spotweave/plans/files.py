@@ -65,6 +65,35 @@ def aggregate_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select("contig", "pos", "meth", "unmeth", "pct", "spot", (F.col("_n") + 1).alias("line"))
 
 
+@query("with " + COV_SQL + ", o as (select cast(spot as varchar) as spot, contig, pos, meth, unmeth, 8 - cast(contig[4:] as int) as ord from covp where context = 'CG') "
+       "select spot, contig, pos, meth, unmeth, row_number() over (partition by spot order by ord, pos) as place from o")
+def aggregate_by_spot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sites by spot with the contigs in a given, here falling, order; ``place`` is a line's number within its spot."""
+    cov = adapters.coverage_percent(spark, sf_dir).where("context = 'CG'").withColumn("spot", F.col("spot").cast("string"))
+    contigs = cov.select("contig").distinct().withColumn("ord", 8 - F.substr("contig", F.lit(4)).cast("int"))
+    path = new_path(spark, "aggregate")
+    sinks.write_aggregate(cov, path, contigs)
+    rows = spark.read.schema("spot string, contig string, pos bigint, end bigint, meth bigint, unmeth bigint").csv(path, sep="\t").drop("end")
+    m = F.col("_metadata")
+    found = skew.numbered_in_order(rows.select("*", m["file_name"].alias("f"), m["file_block_start"].alias("b"), F.monotonically_increasing_id().alias("r")), F.col("spot"),
+                                   {c: F.col(c) for c in ("f", "b", "r")}, {c: F.col(c) for c in ("contig", "pos", "meth", "unmeth")}).rows
+    return found.select(F.col("_key").alias("spot"), "contig", "pos", "meth", "unmeth", (F.col("_n") + 1).alias("place"))
+
+
+@query("with " + COV_SQL + ", o as (select spot, contig, pos, context, meth, unmeth, 8 - cast(contig[4:] as int) as ord from covp) select spot, contig, pos, context, meth, unmeth, row_number() over (order by ord, contig, pos, spot, context) as line from o")
+def merged_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards by context put together in the order of given contigs and places; ``line`` is a row's number in it."""
+    cov = adapters.coverage_percent(spark, sf_dir).drop("pct")
+    contigs = cov.select("contig").distinct().withColumn("ord", 8 - F.substr("contig", F.lit(4)).cast("int"))
+    merged = sites.in_contig_order([cov.where("context = 'CG'"), cov.where("context <> 'CG'")], contigs, "spot", "context")
+    path = new_path(spark, "merged")
+    merged.write.parquet(path)
+    m = F.col("_metadata")
+    rows = spark.read.schema(merged.schema).parquet(path).select("*", m["file_name"].alias("f"), m["row_index"].alias("r"))
+    found = skew.numbered_in_order(rows, F.lit(0), {"f": F.col("f"), "r": F.col("r")}, {c: F.col(c) for c in merged.columns}).rows
+    return found.select(*merged.columns, (F.col("_n") + 1).alias("line"))
+
+
 @query("with " + COV_SQL + f""", c as (select contig, max(pos) + 1 as length from cov group by 1), n as (select *, cast(ceil(length / {_WIDTH}) as bigint) as k from c),
   f as (select *, coalesce(sum(k) over (order by contig rows between unbounded preceding and 1 preceding), 0) as first from n),
   cols as (select spot, row_number() over (order by spot) as col from (select distinct spot from cov)),

@@ -90,10 +90,15 @@ def write_spot_files(cov: DataFrame, path: str, context: str, roster: DataFrame
     fs.delete(at(aside), True)
 
 
-def write_aggregate(cov: DataFrame, path: str) -> None:
-    """All spots' sites in the order of contig, place and spot, as range-partitioned files that follow each other."""
+def write_aggregate(cov: DataFrame, path: str, contigs: DataFrame | None = None) -> None:
+    """All spots' sites as range-partitioned files that follow each other: in the order of contig, place and spot, or, with
+    ``contigs`` (``contig, ord``), the spot first and its sites in the order of their contigs."""
     cols = ["contig", "pos", F.col("pos").alias("end"), F.format_string("%.2f", "pct").alias("pct"), "meth", "unmeth", "spot"]
-    cov.select(*cols).orderBy("contig", "pos", "spot").write.mode("overwrite").csv(path, sep=_TAB)
+    if contigs is None:
+        cov.select(*cols).orderBy("contig", "pos", "spot").write.mode("overwrite").csv(path, sep=_TAB)
+        return
+    rows = cov.join(contigs.groupBy("contig").agg(F.min("ord").alias("_ord")), "contig", "left").orderBy("spot", F.asc_nulls_last("_ord"), "contig", "pos")
+    rows.select("spot", *cols[:3], "meth", "unmeth").write.mode("overwrite").csv(path, sep=_TAB)
 
 
 def matrix_entries(matrix: DataFrame, bins: DataFrame, spots: DataFrame, width: int) -> DataFrame:

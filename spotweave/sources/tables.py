@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numbers import as_int, first_json
+from ..functions.numbers import as_float, as_int, first_json
 from ..functions.text import spot_key, trimmed
 
 CG_FIELDS = "contig string, pos bigint, end bigint, pct double, meth bigint, unmeth bigint"
@@ -124,3 +124,30 @@ def discovered_spots(spark: SparkSession, path: str, listed: DataFrame) -> DataF
     stems = sorted({name.rsplit("/", 1)[-1].split(".", 1)[0] for name in files.inputFiles()})  # an array's files, empty ones too
     names = spark.createDataFrame([(s,) for s in stems], "spot string")
     return names.join(listed.select(F.col("barcode").alias("spot")), "spot", "left_semi").orderBy("spot")
+
+
+def spike_names(names: list[str]) -> list[str]:
+    """The spikes among the names of files: ``pooled.<spike>.sorted.bam`` but the host's and the one by spot, and
+    ``<spike>.CG.cov`` but the host's."""
+    found = {n[7:-11] for n in names if n.startswith("pooled.") and n.endswith(".sorted.bam")} - {"host", "byCB"}
+    found |= {n[:-7] for n in names if n.endswith(".CG.cov") and not n.startswith("host")}
+    return sorted(n for n in found if n)
+
+
+def discovered_spikes(spark: SparkSession, path: str) -> list[str]:
+    """``spike_names`` of the files under a folder, on any file system."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).inputFiles()
+    return spike_names([f.rsplit("/", 1)[-1] for f in files])
+
+
+def spike_reports(spark: SparkSession, path: str) -> DataFrame:
+    """``path, name, reads_matched, mean_rate`` of the spikes' reports; one that is no JSON, or has no name, gives no row."""
+    at = lambda f: F.get_json_object("value", f"$.{f}")
+    rows = _documents(spark, path).select("path", trimmed(at("name")).alias("name"), as_int(at("reads_matched")).alias("reads_matched"), as_float(at("mean_conversion_rate")).alias("mean_rate"))
+    return rows.where("name <> ''")
+
+
+def sample_value(df: DataFrame, sample: str, column: str, key: str = "sample_id") -> str | None:
+    """A sample's value in a report that is read as text: that of its first line, None for no line or a blank value."""
+    found = df.where(trimmed(key) == sample).select(trimmed(column).alias("v")).first()
+    return found["v"] or None if found else None
