@@ -1,17 +1,20 @@
-"""Spark data sources for FASTQ, FASTA and BAM files: one input partition to each file, Arrow batches out.
+"""Spark data sources for FASTQ, FASTA and BAM files, Arrow batches out.
 
-A gzip stream can't be split, so the parallelism of a scan is the number of files, which a sequencer writes in
-chunks. Register with ``register(spark)``, then ``spark.read.format("fastq").load(folder_or_file)``.
+A gzip stream can't be split, so the parallelism of a scan of FASTQ or FASTA is the number of files, which a sequencer
+writes in chunks; BAM files are split at their blocks. Register with ``register(spark)``, then ``spark.read.format("fastq").load(folder_or_file)``.
 """
 
 from __future__ import annotations
 
+import bisect
 import fnmatch
 import gzip
 import io
+import math
 import os
 import re
 import struct
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +40,8 @@ _CODES = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
 class File(InputPartition):
     path: str
     mate: str | None = None
+    start: int = 0
+    end: int | None = None
 
 
 def _located(path: str) -> tuple[fs.FileSystem, str, str]:
@@ -207,8 +212,88 @@ class FastaSource(_Source):
             yield from cut(True)
 
 
+def _block_size(head: bytes) -> int:
+    """The bytes of the BGZF block that begins with ``head``, 0 if none does."""
+    if len(head) < 18 or head[:4] != b"\x1f\x8b\x08\x04" or head[12:16] != b"BC\2\0":
+        return 0
+    return struct.unpack("<H", head[16:18])[0] + 1
+
+
+class _Blocks:
+    """The inflated blocks of a BGZF file from a compressed place on, as one buffer that knows where each block began."""
+
+    def __init__(self, f: io.BufferedIOBase, at: int):
+        self.f, self.at, self.data, self.places = f, at, bytearray(), []
+
+    def more(self) -> bool:
+        """Reads another block; False at the end."""
+        self.f.seek(self.at)
+        size = _block_size(head := self.f.read(18))
+        if not size:
+            if head:
+                raise ValueError(f"no BGZF block at {self.at}")
+            return False
+        self.places.append((len(self.data), self.at))
+        self.data += zlib.decompress(self.f.read(size - 18)[:-8], -15)
+        self.at += size
+        return True
+
+    def upto(self, n: int) -> bool:
+        """Whether the buffer has, or now gets, ``n`` bytes."""
+        while len(self.data) < n:
+            if not self.more():
+                return False
+        return True
+
+    def place(self, offset: int) -> int:
+        """Where the block with this byte of the buffer began in the file."""
+        return self.places[bisect.bisect_right(self.places, (offset, math.inf)) - 1][1]
+
+    def drop(self, n: int) -> None:
+        """Forgets the first ``n`` bytes."""
+        del self.data[:n]
+        k = max(bisect.bisect_right(self.places, (n, math.inf)) - 1, 0)
+        self.places = [(max(o - n, 0), at) for o, at in self.places[k:]]
+
+
+def _first_block(f: io.BufferedIOBase, start: int) -> int | None:
+    """The first place from ``start`` on where a BGZF block begins that another, or the end, follows."""
+    f.seek(start)
+    near = f.read(1 << 18)
+    at = near.find(b"\x1f\x8b\x08\x04")
+    while at >= 0:
+        f.seek(start + at)
+        if size := _block_size(f.read(18)):
+            f.seek(start + at + size)
+            following = f.read(18)
+            if not following or _block_size(following):
+                return start + at
+        at = near.find(b"\x1f\x8b\x08\x04", at + 1)
+    return None
+
+
+def _is_record(data: bytearray, at: int, contigs: int) -> bool:
+    """Whether the 36 bytes and the name at a place can be the head of an alignment record."""
+    size, ref, pos, n_name, _, _, n_cigar, _, n_seq, mate, mate_pos, _ = struct.unpack_from("<iiiBBHHHiiii", data, at)
+    if not (-1 <= ref < contigs and -1 <= mate < contigs and pos >= -1 and mate_pos >= -1 and n_name >= 1 and n_seq >= 0):
+        return False
+    if size < 32 + n_name + 4 * n_cigar + (n_seq + 1) // 2 + n_seq or size > 1 << 28:
+        return False
+    name = data[at + 36 : at + 36 + n_name]
+    return len(name) < n_name or name[-1] == 0 and all(32 < c < 127 for c in name[:-1])
+
+
+#: A place begins a record if so many in a row can be records.
+_CHAIN = 5
+
+
 class BamSource(_Source):
-    """Alignment records; ``spot`` is the tag named in ``tag`` (``CB``), ``hits`` is ``NH`` and ``yd`` is ``YD``."""
+    """Alignment records; ``spot`` is the tag named in ``tag`` (``CB``), ``hits`` is ``NH`` and ``yd`` is ``YD``.
+
+    BGZF files are split into ranges of ``split`` bytes (64 MB if not given): a range's records are those that begin in a
+    block that begins there. The first is found by trying each place of its first blocks until several records in a
+    row fit. Other gzip files are one partition each.
+    """
 
     fields, endings = BAM, (".bam",)
 
@@ -216,19 +301,71 @@ class BamSource(_Source):
     def name(cls) -> str:
         return "bam"
 
+    def partitions(self) -> list[File]:
+        step, parts = int(self.options.get("split", 64 << 20)), []
+        for path in files_of(self.options["path"], self.wanted()):
+            found, inner, _ = _located(path)
+            size = found.get_file_info(inner).size
+            with _bytes(path) as f:
+                whole = size <= step or not _block_size(f.read(18))
+            parts += [File(path)] if whole else [File(path, None, at, at + step) for at in range(0, size, step)]
+        return parts
+
     def rows(self, part: File) -> Iterator[tuple]:
         wanted = self.options.get("tag", "CB")
-        with gzip.GzipFile(fileobj=_bytes(part.path)) as f:
-            if f.read(4) != b"BAM\1":
-                raise ValueError(f"{part.path} is no BAM file")
-            f.read(struct.unpack("<i", f.read(4))[0])
-            contigs = []
-            for _ in range(struct.unpack("<i", f.read(4))[0]):
-                n = struct.unpack("<i", f.read(4))[0]
-                contigs.append(f.read(n)[:-1].decode())
-                f.read(4)
-            while size := f.read(4):
-                yield self._record(f.read(struct.unpack("<i", size)[0]), contigs, wanted)
+        with _bytes(part.path) as raw:
+            f = gzip.GzipFile(fileobj=raw)
+            contigs, head = self._contigs(f, part.path)
+            if part.end is None:
+                while size := f.read(4):
+                    yield self._record(f.read(struct.unpack("<i", size)[0]), contigs, wanted)
+                return
+            if part.start == 0:
+                blocks, at = _Blocks(raw, 0), head
+                blocks.upto(head)
+            else:
+                first = _first_block(raw, part.start)
+                if first is None or first >= part.end:
+                    return
+                blocks = _Blocks(raw, first)
+                at = self._first_record(blocks, part.end, len(contigs))
+            while at is not None and blocks.upto(at + 4) and blocks.place(at) < part.end:
+                size = struct.unpack_from("<i", blocks.data, at)[0]
+                if not blocks.upto(at + 4 + size):
+                    raise ValueError(f"{part.path} ends within a record")
+                yield self._record(bytes(blocks.data[at + 4 : at + 4 + size]), contigs, wanted)
+                at += 4 + size
+                if at > 1 << 20:
+                    blocks.drop(at)
+                    at = 0
+
+    @staticmethod
+    def _contigs(f: gzip.GzipFile, path: str) -> tuple[list[str], int]:
+        """The contigs in a file's header, and the header's length."""
+        if f.read(4) != b"BAM\1":
+            raise ValueError(f"{path} is no BAM file")
+        text = struct.unpack("<i", f.read(4))[0]
+        f.read(text)
+        contigs, length = [], 12 + text
+        for _ in range(struct.unpack("<i", f.read(4))[0]):
+            n = struct.unpack("<i", f.read(4))[0]
+            contigs.append(f.read(n)[:-1].decode())
+            f.read(4)
+            length += 8 + n
+        return contigs, length
+
+    @staticmethod
+    def _first_record(blocks: _Blocks, end: int, contigs: int) -> int | None:
+        """The first place in a range's blocks where a record begins, None if there is none."""
+        at = 0
+        while blocks.upto(at + 1) and blocks.place(at) < end:
+            place, fits = at, 0
+            while fits < _CHAIN and blocks.upto(place + 36) and _is_record(blocks.data, place, contigs):
+                fits, place = fits + 1, place + 4 + struct.unpack_from("<i", blocks.data, place)[0]
+            if fits and (fits == _CHAIN or place == len(blocks.data) and not blocks.upto(place + 1)):
+                return at
+            at += 1
+        return None
 
     @staticmethod
     def _record(raw: bytes, contigs: list[str], wanted: str) -> tuple:

@@ -2,6 +2,7 @@
 
 import gzip
 import struct
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,7 +48,17 @@ def test_fasta(spark, tmp_path, rows, chunk):
     assert rows(sites.reference_sites(df), "contig", "pos", "context") == [("c1", 1, "CG"), ("c1", 3, "CA"), ("c1", 6, "CA"), ("c1", 7, "CT"), ("c2", 0, "CG")]
 
 
-def bam(path, records):
+def bgzf(data, size):
+    """``data`` in blocks of ``size`` bytes, whatever records they cut, and the empty block at the end."""
+    out = b""
+    for piece in [data[i : i + size] for i in range(0, len(data), size)] + [b""]:
+        c = zlib.compressobj(6, zlib.DEFLATED, -15)
+        body = c.compress(piece) + c.flush()
+        out += b"\x1f\x8b\x08\x04" + b"\0" * 5 + b"\xff" + struct.pack("<H", 6) + b"BC" + struct.pack("<HH", 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(piece), len(piece))
+    return out
+
+
+def bam(path, records, block=None):
     def text(kind, s):
         return kind + s.encode() + b"\0"
 
@@ -60,6 +71,9 @@ def bam(path, records):
         body += b"".join(struct.pack("<I", n << 4 | "MIDNSHP=X".index(op)) for op, n in cigar)
         body += bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2])) + (bytes(quals) if quals else b"\xff" * len(seq)) + tags
         out += struct.pack("<i", len(body)) + body
+    if block:
+        path.write_bytes(bgzf(out, block))
+        return
     half = len(out) // 2  # members one after another, as in blocked gzip
     path.write_bytes(gzip.compress(out[:half]) + gzip.compress(out[half:]) + gzip.compress(b""))
 
@@ -75,6 +89,20 @@ def test_bam(spark, tmp_path, rows):
     assert sites.aligned_bases(spark.read.format("bam").load(str(tmp_path))).count() == 0  # its strand is unclear
 
 
+@pytest.mark.parametrize("block", [97, 1000, 20_000])
+def test_bam_in_splits(spark, tmp_path, block):
+    bases = "ACGTTGCA" * 40
+    data = [(f"read{i:05}", 99, i % 2, i, 60, [("M", 20 + i % 300)], bases[: 20 + i % 300], None, b"CBZAA\0") for i in range(600)]
+    bam(tmp_path / "x.bam", data, block)
+    read = lambda split: [r.name for r in spark.read.format("bam").option("split", split).load(str(tmp_path)).select("name").collect()]
+    want = [d[0] for d in data]
+    assert read(1 << 30) == want
+    for split in (700, 5000, 40_000):
+        df = spark.read.format("bam").option("split", split).load(str(tmp_path))
+        assert df.rdd.getNumPartitions() > 1 or (tmp_path / "x.bam").stat().st_size <= split
+        assert sorted(read(split)) == want
+
+
 def test_lists(spark, tmp_path, rows):
     write(tmp_path / "w.txt", "# list\nacgt\tx\n\nTTTT\nACGT\n")
     assert rows(tables.whitelist(spark, str(tmp_path / "w.txt"))) == [("ACGT", 0), ("TTTT", 1)]
