@@ -396,7 +396,7 @@ def exact_quantile(df: DataFrame, value: str, share: float) -> float | None:
     """The exact quantile of a double column, between neighbours in proportion, null for no values.
 
     A sketch of the values' ranks brackets it, the values below the bracket are counted, and only those within are
-    sorted, so no task holds all values. ``df`` should be a staged table, since it's read three times.
+    sorted, each once with its count, so no task holds all values. ``df`` should be a staged table, since it's read three times.
     """
     v = F.col(value)
     n, low, high = df.agg(F.count(v), *(F.percentile_approx(v, min(max(share + d, 0.0), 1.0), 1000) for d in (-0.003, 0.003))).first()
@@ -409,9 +409,10 @@ def exact_quantile(df: DataFrame, value: str, share: float) -> float | None:
         if below <= first and last < below + inside:
             break
         low, high = df.agg(F.min(v), F.max(v)).first()  # the sketch's bracket missed: all values are sorted, in ranges
-    ranks = skew.numbered_in_order(df.where(v.between(low, high)), F.lit(0), {"v": v}, {}).rows
-    found = {r["_n"]: r["v"] for r in ranks.where(F.col("_n").isin(first - below, last - below)).collect()}
-    a, b = found[first - below], found[last - below]
+    ties = df.where(v.between(low, high)).groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    ranks = skew.running_total(skew.numbered_in_order(ties, F.lit(0), {"v": F.col("v")}, {"n": F.col("n")}).rows, "n", "upto")
+    holds = lambda k: F.min(F.when(F.col("upto") > k - below, F.col("v")))
+    a, b = ranks.agg(holds(first), holds(last)).first()
     return a + (b - a) * (at - first)
 
 
