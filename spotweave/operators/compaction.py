@@ -149,6 +149,8 @@ class SnapshotTable:
 
     def text_ratio(self) -> float:
         """Bytes of text to a byte of Parquet, over the partitions of the last manifest."""
+        if not self.version():
+            return TEXT_RATIO
         text = self.manifest().agg(F.sum("n_bytes")).first()[0]
         live = {(r.run, r.part) for r in self.manifest().select("run", "part").toLocalIterator()}
         written = sum(size for key, (_, size) in self._folders().items() if key in live)
@@ -220,11 +222,13 @@ def partition_of(n_parts: int) -> Column:
 
 
 def compact(
-    files: DataFrame, table: SnapshotTable, max_small_files: int, small_bytes: int, target_bytes: int = TARGET_BYTES, expires: float = CLAIM_SECONDS
-) -> DataFrame:
+    files: DataFrame, table: SnapshotTable, max_small_files: int, small_bytes: int, target_bytes: int = TARGET_BYTES, expires: float = CLAIM_SECONDS,
+    listed: DataFrame | None = None,
+) -> DataFrame:
     """Rewrites the partitions of ``table`` with more than ``max_small_files`` small files; gives their listing.
 
-    ``files`` has the columns of ``records`` and ``n_bytes``. A partition that the last manifest covers, with the
+    ``files`` has the columns of ``records`` and ``n_bytes``; ``listed`` is their ``listing`` by ``small_bytes``, if it's known
+    already. A partition that the last manifest covers, with the
     same set of files, is left alone, and one without files any more leaves the manifest. A partition that makes more
     than ``target_bytes`` of Parquet, by the table's own ratio to the text, is written as several files, its records
     spread evenly by their hash whatever their keys. A ``ConflictError`` means that another run came first, or that
@@ -232,7 +236,7 @@ def compact(
     """
     base = table.version()
     done = table.manifest(base)
-    now = stage(listing(files, small_bytes), "compact-listing")
+    now = stage(listing(files, small_bytes), "compact-listing") if listed is None else listed
     todo = stage(now.where(F.col("n_small") > max_small_files).join(done.select("part", "fingerprint"), ["part", "fingerprint"], "left_anti"), "compact-todo")
     n = todo.count()
     if not n and done.join(now, "part", "left_anti").isEmpty():
@@ -283,12 +287,12 @@ def with_parts(files: DataFrame, part_bytes: int = PART_BYTES, table: SnapshotTa
     return files.withColumn("part", partition_of(table.n_parts(n) if table else n))
 
 
-def all_records(files: DataFrame, table: SnapshotTable) -> DataFrame:
+def all_records(files: DataFrame, table: SnapshotTable, listed: DataFrame | None = None) -> DataFrame:
     """Every record of ``files`` once: those of partitions that ``table`` covers with the same set of files from it,
-    the others wholly from their files."""
+    the others wholly from their files. ``listed`` is the ``listing`` of ``files``, if it's known already."""
     if not table.version():
         return unique(records(files))
-    covered = stage(table.manifest().join(listing(files, 0).select("part", "fingerprint"), ["part", "fingerprint"]), "compact-covered")
+    covered = stage(table.manifest().join((listing(files, 0) if listed is None else listed).select("part", "fingerprint"), ["part", "fingerprint"]), "compact-covered")
     rest = files.join(broadcast_if_small(covered.select("part"), BROADCAST_PARTS), "part", "left_anti")
     return table.read(covered).select("part", *RECORD, "file_id").unionByName(unique(records(rest)))
 

@@ -21,8 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _compacted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     store = compaction.SnapshotTable(spark, new_path(spark, "compacted"))
     files = compaction.with_parts(table(spark, sf_dir, "count_files"), table=store)
-    compaction.compact(files, store, max_small_files=1, small_bytes=compaction.TARGET_BYTES // 2)
-    return files, compaction.all_records(files, store)
+    small = compaction.TARGET_BYTES // 2
+    listed = stage(compaction.listing(files, small), "compact-listing")
+    compaction.compact(files, store, max_small_files=1, small_bytes=small, listed=listed)
+    return files, compaction.all_records(files, store, listed)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
