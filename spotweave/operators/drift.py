@@ -251,7 +251,7 @@ def fields_of(found: Drift, fields: list[str]) -> DataFrame:
     A column is linked with all it was renamed from and to. It is the field that one of these is called (in any case),
     the earliest if there are several: ``how`` is ``name`` or, under another name, ``renamed``. A column linked
     with no field, but called what was renamed from or to a field in other places, is that field too: ``alias``, by
-    the most such renames. Of several columns of one version that are the same field the most direct counts, the
+    the most such renames, of equally many the first by the alphabet. Of several columns of one version that are the same field the most direct counts, the
     others are ``shadowed``. All others have no field: ``unknown``.
     """
     first = F.col("old_name").isNull() | (F.col("old_name") != F.col("name"))
@@ -274,7 +274,7 @@ def fields_of(found: Drift, fields: list[str]) -> DataFrame:
     named = chains.where(known).groupBy("root").agg(F.min(F.struct("version", "low"))["low"].alias("known"))
     other = chains.where(~known).join(named, "root", "left")
     proofs = other.where("known is not null").select("root", "low", "known").distinct().groupBy("low", "known").agg(F.count(F.lit(1)).alias("n"))
-    alias = proofs.groupBy("low").agg(F.max_by("known", F.struct("n", -F.hash("known"))).alias("alias"))
+    alias = proofs.groupBy("low").agg(F.min_by("known", F.struct(-F.col("n"), "known")).alias("alias"))
     proven = other.where("known is null").join(alias, "low")
     called = proven.groupBy("root").agg(F.min(F.struct("version", "low", "alias"))["alias"].alias("alias"))
     what = chains.join(named, "root", "left").join(called, "root", "left").select(F.col("head").alias("_from"), F.col("name").alias("_own"), "known", "alias")

@@ -175,7 +175,7 @@ fields as (select unnest(""" + repr([f.lower() for f in MEANS + COUNTS]) + """)
 named as (select root_file, root_name, arg_min(low, struct_pack(first, low)) as known from called join fields using (low) group by 1, 2),
 other as (select c.*, known from called c left join named using (root_file, root_name) where low not in (select low from fields)),
 proofs as (select low, known, count(*) as n from other where known is not null group by 1, 2),
-alias as (select low, arg_max(known, n) as alias, count(*) filter (n = most) as ties from (select *, max(n) over (partition by low) as most from proofs) group by 1),
+alias as (select low, arg_min(known, struct_pack(m := -n, k := known)) as alias from proofs group by 1),
 by_alias as (select root_file, root_name, arg_min(alias, struct_pack(first, low)) as alias from other join alias using (low) where known is null group by 1, 2),
 sorted as (select c.file_id, c.name, coalesce(known, alias) as field, case when coalesce(known, alias) = lower(c.name) then 0 when known is not null then 1 when alias is not null then 2 end as rk
   from chain c left join named using (root_file, root_name) left join by_alias using (root_file, root_name)),

@@ -69,3 +69,25 @@ def test_one_table(spark, rows):
 )
 def test_casts(spark, text, number):
     assert spark.createDataFrame([(text,)], "t string").select(drift.as_number(F.col("t"))).first()[0] == number
+
+
+def test_columns_find_their_field_by_any_name_or_by_an_alias(spark, rows):
+    p = parsed(
+        spark,
+        (1, "S", 1, "barcode\tmCG\todd\nAC\t81.5\t1\nGT\t3\t2\n"),  # first called otherwise, later by its name
+        (2, "S", 2, "barcode\tmean_5mCG\todd\nAC\t81.5\t1\nGT\t3\t2\n"),
+        (3, "S", 3, "barcode\tmean_5mCG\todd\nAC\t81.5\t1\nGT\t3\t2\n"),  # nothing changed
+        (7, "T", 1, "barcode\tmCG\nAC\t7\n"),  # an alias proven in S
+        (8, "U", 1, "barcode\tmCG\tMean_5mCG\nAC\t7\t9\n"),  # the name itself is nearer
+    )
+    found = drift.compared(p)
+    assert rows(drift.file_columns(found, ["mean_5mCG"])) == sorted([
+        (1, "mCG", "mean_5mcg", "renamed"), (1, "odd", None, "unknown"), (2, "mean_5mCG", "mean_5mcg", "name"), (2, "odd", None, "unknown"),
+        (3, "mean_5mCG", "mean_5mcg", "name"), (3, "odd", None, "unknown"), (7, "mCG", "mean_5mcg", "alias"), (8, "mCG", None, "shadowed"), (8, "Mean_5mCG", "mean_5mcg", "name"),
+    ], key=repr)
+    assert rows(found.seen.files, "file_id", "version") == [(1, 1), (2, 2), (3, 2), (7, 1), (8, 1)]
+    got = drift.unified(p, ["mean_5mCG"], set())
+    assert rows(got.where("key = 'AC'"), "file_id", "mean_5mCG", "n_unmapped") == [(1, 81.5, 1), (2, 81.5, 1), (3, 81.5, 1), (7, 7.0, 0), (8, 9.0, 1)]
+    assert rows(drift.steps(found)) == [(2, "S", 2, "renamed", "mCG", "mean_5mCG", "decimal", "decimal")]
+    nothing = drift.compared(p.limit(0))
+    assert drift.file_columns(nothing, ["mean_5mCG"]).count() == 0 and drift.steps(nothing).count() == 0
