@@ -83,8 +83,8 @@ def test_cells_are_two_listed_halves(spark, rows):
     listed = spark.createDataFrame([("AA", 0), ("CC", 1)], "barcode string, idx int")
     cells = spark.createDataFrame([("AACC",), ("AAGG",), ("AAC",)], "cell string")
     assert rows(reads.cell_index(cells, listed, 2)) == sorted([("AACC", 0, 1), ("AAGG", 0, None), ("AAC", None, None)], key=repr)
-    assert rows(reads.cell_index(cells.limit(1), listed, 2, strict=True)) == [("AACC", 0, 1)]
-    with pytest.raises(Exception, match="no listed cell: AAGG"):
+    assert rows(reads.cell_index(cells.where("cell = 'AACC'"), listed, 2, strict=True)) == [("AACC", 0, 1)]
+    with pytest.raises(Exception, match="no listed cell: AA(GG|C)"):
         reads.cell_index(cells, listed, 2, strict=True).collect()
 
 
