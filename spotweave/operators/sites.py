@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -368,6 +369,39 @@ def compare_coverage(a: DataFrame, b: DataFrame, *by: str, shift: int = 0) -> Da
     )
 
 
+#: Widths of the buckets in which sites meet regions: the least that is four times a region's length or more.
+WIDTHS = (1 << 8, 1 << 11, 1 << 14)
+
+
+def _kind() -> Column:
+    """The place in ``WIDTHS`` of a region's width; their number for longer regions and those without a length."""
+    return F.coalesce(*(F.when(F.col("end") - F.col("start") <= w // 4, k) for k, w in enumerate(WIDTHS)), F.lit(len(WIDTHS)))
+
+
+def _met(sites: DataFrame, regions: DataFrame, kinds: list[int], cut: int = WIDTHS[-1]) -> DataFrame:
+    """``sites`` and the ``regions`` of ``kinds`` that they lie in, with the ``_bucket`` where they met.
+
+    A region stands only in the bucket of its start; a site near the start of its own stands in the one before too.
+    Longer regions stand in each bucket of ``cut`` places. A bucket is known by one long that sorts fast, a hash that
+    differs for all buckets of a contig; contigs are compared by two inequalities, so that they don't become a second key.
+    """
+    n = len(WIDTHS) + 1
+    start, pos = F.col("start"), F.col("pos")
+    homes, near = [], []
+    for k in kinds:
+        key = lambda at, k=k: F.floor(at / [*WIDTHS, cut][k]) * n + k
+        if k < len(WIDTHS):
+            own, before = key(pos), key(pos - (WIDTHS[k] // 4 - 1))
+            homes.append(F.when(_kind() == k, F.array(key(start))))
+            near.append(F.when(own == before, F.array(own)).otherwise(F.array(before, own)))
+        else:
+            homes.append(F.when(_kind() == k, F.sequence(key(start), key(F.col("end") - 1), F.lit(n).cast("long"))))
+            near.append(F.array(key(pos)))
+    hashed = lambda df, buckets: df.withColumn("_bucket", F.explode(buckets)).withColumn("_bucket", F.xxhash64("contig", "_bucket"))
+    placed = hashed(regions, F.coalesce(*homes)).withColumnRenamed("contig", "_contig")
+    return hashed(sites, F.concat(*near)).join(placed, "_bucket").where("pos >= start and pos < end and contig <= _contig and contig >= _contig").drop("_contig")
+
+
 def intervals_joined(sites: DataFrame, regions: DataFrame, bucket: int = 1 << 14) -> DataFrame:
     """``sites`` (``contig, pos``) joined with every region (``region, contig, start, end``, half-open) they lie in.
 
@@ -430,9 +464,24 @@ def variable_regions(cov: DataFrame, width: int, step: int, share: float) -> Dat
 
 
 def region_matrix(cov: DataFrame, regions: DataFrame) -> DataFrame:
-    """``region, spot, meth, cov, frac`` of the sites in each region."""
-    rows = intervals_joined(cov, regions).groupBy("region", "spot").agg(F.sum("meth").alias("meth"), F.sum(F.col("meth") + F.col("unmeth")).alias("cov"))
-    return rows.where("cov > 0").withColumn("frac", F.col("meth") / F.col("cov"))
+    """``region, spot, meth, cov, frac`` of the sites in each region.
+
+    Short regions are summed up in the bucket where they meet their sites, without a shuffle of the pairs; those that are
+    cut or consist of several intervals are summed up by region and spot.
+    """
+    alone = F.count(F.lit(1)).over(Window.partitionBy("region")) == 1
+    short = F.col("_kind") < len(WIDTHS)
+    marked = stage(regions.select("region", "contig", "start", "end", _kind().alias("_kind"), alone.alias("_alone")), "regions")
+    found = sorted(marked.select("_kind", short & F.col("_alone")).distinct().collect())
+    parts = []
+    for whole in (True, False):
+        kinds = [k for k, w in found if w == whole]
+        if kinds or (whole and not found):
+            rows = _met(cov.select("spot", "contig", "pos", "meth", "unmeth"), marked.where((short & F.col("_alone")) == whole), kinds or [0])
+            by = ["_bucket", "region", "spot"] if whole else ["region", "spot"]
+            sums = rows.groupBy(*by).agg(F.sum("meth").alias("meth"), F.sum(F.col("meth") + F.col("unmeth")).alias("cov"))
+            parts.append(sums.select("region", "spot", "meth", "cov"))
+    return reduce(DataFrame.union, parts).where("cov > 0").withColumn("frac", F.col("meth") / F.col("cov"))
 
 
 def region_chain(cov: DataFrame, least: int, width: int, step: int, share: float, regions: DataFrame | None = None) -> DataFrame:

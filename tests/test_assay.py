@@ -365,3 +365,44 @@ def test_regions_by_brute_force(spark, rows):
     got = sites.intervals_joined(spark.createDataFrame(places, "contig string, pos bigint"), spark.createDataFrame(regions, "region int, contig string, start bigint, end bigint"))
     want = [(i, c, p) for c, p in places for i, d, s, e in regions if c == d and s <= p < e]
     assert rows(got, "region", "contig", "pos") == sorted(want, key=repr)
+
+
+LENGTHS = [1, 2, 63, 64, 65, 511, 512, 513, 4096, 4097, 40_000, 0, -5]
+
+
+def _odd_regions(r):
+    """Regions of all lengths, at borders of buckets, given twice, of several intervals and with nulls: region, contig, start, end."""
+    starts = [-300, -64, -1, 0, 192, 193, 255, 256, 2047, 2048, 16_383, 16_384]
+    some = [(r.choice("ab"), r.choice(starts), r.choice(LENGTHS)) for _ in range(150)]
+    regions = [(i if i % 3 else i // 9, c, s, s + n) for i, (c, s, n) in enumerate(some)]
+    return [*regions, *regions[:5], (None, "a", 10, 40), (900, None, 0, 500), (901, "a", None, 500), (902, "b", 0, None)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_region_matrix_by_brute_force(spark, rows, seed):
+    r = random.Random(seed)
+    regions = _odd_regions(r)
+    places = [(r.choice("xyz"), r.choice(["a", "b", None]), r.choice([r.randint(-400, 3000), r.randint(-400, 60_000), 192, 255, 256, 319, 320, None]), r.randint(0, 3), r.randint(0, 3)) for _ in range(1500)]
+    df = spark.createDataFrame(places, "spot string, contig string, pos bigint, meth bigint, unmeth bigint")
+    want = {}
+    for i, c, s, e in regions:
+        for spot, d, p, m, u in places:
+            if None not in (c, d, p, s, e) and c == d and s <= p < e:
+                a = want.setdefault((i, spot), [0, 0])
+                a[0], a[1] = a[0] + m, a[1] + m + u
+    shape = "region int, contig string, start bigint, end bigint"
+    got = sites.region_matrix(df, spark.createDataFrame(regions, shape))
+    assert rows(got, "region", "spot", "meth", "cov", "frac") == sorted(((*k, m, n, m / n) for k, (m, n) in want.items() if n), key=repr)
+    assert sites.region_matrix(df, spark.createDataFrame([], shape)).count() == 0
+
+
+def test_pairs_of_short_regions_are_not_shuffled(spark):
+    regions = spark.range(1000).selectExpr("id as region", "'c' as contig", "id * 7 as start", "id * 7 + 50 as end")
+    places = spark.range(1000).selectExpr("'s' as spot", "'c' as contig", "id * 5 as pos", "id as meth", "id as unmeth")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sites.region_matrix(places, regions)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning(") == 2  # sites and regions
