@@ -402,13 +402,15 @@ def _met(sites: DataFrame, regions: DataFrame, kinds: list[int], cut: int = WIDT
     return hashed(sites, F.concat(*near)).join(placed, "_bucket").where("pos >= start and pos < end and contig <= _contig and contig >= _contig").drop("_contig")
 
 
-def intervals_joined(sites: DataFrame, regions: DataFrame, bucket: int = 1 << 14) -> DataFrame:
+def intervals_joined(sites: DataFrame, regions: DataFrame, bucket: int = WIDTHS[-1]) -> DataFrame:
     """``sites`` (``contig, pos``) joined with every region (``region, contig, start, end``, half-open) they lie in.
 
-    Both sides meet by contig and bucket of places, so no contig is held whole; a region stands in each of its buckets.
+    Both sides meet by contig and bucket of places, so no contig is held whole. Buckets are as wide as the regions' lengths
+    ask for, so that a site meets few regions it doesn't lie in; only regions longer than a quarter of the widest are cut, by
+    ``bucket``. ``regions`` are read twice, once for their lengths.
     """
-    cut = regions.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("start") / bucket), F.floor((F.col("end") - 1) / bucket))))
-    return sites.withColumn("_bucket", F.floor(F.col("pos") / bucket)).join(cut, ["contig", "_bucket"]).where("pos >= start and pos < end").drop("_bucket")
+    kinds = sorted(k for (k,) in regions.select(_kind()).distinct().collect())
+    return _met(sites, regions, kinds or [0], bucket).drop("_bucket")
 
 
 def smoothed(sites: DataFrame, bandwidth: int, weighted: bool = False) -> DataFrame:

@@ -406,3 +406,33 @@ def test_pairs_of_short_regions_are_not_shuffled(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("Exchange hashpartitioning(") == 2  # sites and regions
+
+
+def _pairs_met(spark, joined):
+    """The number of rows of the topmost join in a plan, before what is filtered after it."""
+    node = joined._jdf.queryExecution().analyzed()
+    while node.nodeName() != "Join":
+        node = node.children().head()
+    return spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, node).count()
+
+
+def test_sites_meet_few_regions_that_they_are_not_in(spark):
+    regions = spark.range(2000).selectExpr("id as region", "'c' as contig", "id * 7 as start", "id * 7 + 1 + id % 50 as end")
+    places = spark.range(2000).selectExpr("'c' as contig", "id * 7 as pos")
+    got = sites.intervals_joined(places, regions)
+    assert got.count() > 2000
+    assert _pairs_met(spark, got) < 20 * got.count()
+
+
+@pytest.mark.parametrize("bucket", [100, 1 << 14])
+def test_regions_of_all_lengths_by_brute_force(spark, rows, bucket):
+    r = random.Random(5)
+    regions = _odd_regions(r)
+    places = [(r.choice(["a", "b", None]), r.choice([r.randint(-400, 3000), r.randint(-400, 60_000), 192, 255, 256, 319, 320, None])) for _ in range(800)]
+    shape = "region int, contig string, start bigint, end bigint"
+    df = spark.createDataFrame(places, "contig string, pos bigint")
+    got = sites.intervals_joined(df, spark.createDataFrame(regions, shape), bucket)
+    want = [(i, c, p) for c, p in places for i, d, s, e in regions if None not in (c, d, p, s, e) and c == d and s <= p < e]
+    assert rows(got, "region", "contig", "pos") == sorted(want, key=repr)
+    assert sites.intervals_joined(df, spark.createDataFrame([], shape), bucket).count() == 0
+    assert set(got.columns) == {"contig", "pos", "region", "start", "end"}
