@@ -382,8 +382,8 @@ def _met(sites: DataFrame, regions: DataFrame, kinds: list[int], cut: int = WIDT
     """``sites`` and the ``regions`` of ``kinds`` that they lie in, with the ``_bucket`` where they met.
 
     A region stands only in the bucket of its start; a site near the start of its own stands in the one before too.
-    Longer regions stand in each bucket of ``cut`` places. A bucket is known by one long that sorts fast, a hash that
-    differs for all buckets of a contig; contigs are compared by two inequalities, so that they don't become a second key.
+    Longer regions stand in each bucket of ``cut`` places. A bucket is known by one long that sorts fast and differs
+    for all buckets of a contig; contigs are compared by two inequalities, so that they don't become a second key.
     """
     n = len(WIDTHS) + 1
     start, pos = F.col("start"), F.col("pos")
@@ -397,7 +397,7 @@ def _met(sites: DataFrame, regions: DataFrame, kinds: list[int], cut: int = WIDT
         else:
             homes.append(F.when(_kind() == k, F.sequence(key(start), key(F.col("end") - 1), F.lit(n).cast("long"))))
             near.append(F.array(key(pos)))
-    hashed = lambda df, buckets: df.withColumn("_bucket", F.explode(buckets)).withColumn("_bucket", F.xxhash64("contig", "_bucket"))
+    hashed = lambda df, buckets: df.withColumn("_bucket", F.explode(buckets)).withColumn("_bucket", F.col("_bucket").bitwiseXOR(F.xxhash64("contig")))
     placed = hashed(regions, F.coalesce(*homes)).withColumnRenamed("contig", "_contig")
     return hashed(sites, F.concat(*near)).join(placed, "_bucket").where("pos >= start and pos < end and contig <= _contig and contig >= _contig").drop("_contig")
 
